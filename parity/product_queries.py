@@ -10,6 +10,7 @@ from keelmark.plans import product
 from keelmark.session import run_dir
 from keelmark.sources import banking
 from keelmark.sources.tables import snapshot_once
+import parity.source_queries  # noqa: F401  (declares the source views)
 from parity.registry import query, view
 
 EARLIER, EARLIER_SCORED = date(2001, 8, 1), datetime(2001, 8, 1, 6, 0, 0)

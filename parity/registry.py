@@ -10,6 +10,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+MODULE: dict[str, str] = {}
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -47,6 +48,7 @@ def query(name: str, sql: str | None = None, *needs: str):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = run
+        MODULE[name] = function.__module__
         if sql is not None:
             SQL[name] = over(sql, *needs)
         return function
