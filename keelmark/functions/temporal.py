@@ -27,7 +27,7 @@ def months_before(value: date | Column, months: int) -> Column:
 
 
 def moment_before(value: datetime | Column, *, days: int = 0, hours: int = 0) -> Column:
-    return moment(value) - F.expr(f"INTERVAL '{days} {hours}' DAY TO HOUR")
+    return moment(value) - F.make_dt_interval(F.lit(days), F.lit(hours))
 
 
 def months_crossed(start: Column, end: Column) -> Column:
