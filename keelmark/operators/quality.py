@@ -46,9 +46,11 @@ def row_count(df: DataFrame) -> DataFrame:
         F.lit("ROW_COUNT").alias("metric_name"), F.lit("*").alias("column_name"), "value")
 
 
-def freshness(df: DataFrame, column: str, at: datetime) -> DataFrame:
-    return df.agg(seconds_elapsed(F.max(column), moment(at)).alias("value")).select(
-        F.lit("FRESHNESS").alias("metric_name"), F.lit(column).alias("column_name"), "value")
+def freshness(df: DataFrame, column: str, at: Sequence[datetime]) -> DataFrame:
+    """Age of the newest record at each check time."""
+    newest = df.agg(F.max(column).alias("newest"))
+    aged = [(F.lit("FRESHNESS"), F.lit(column), seconds_elapsed(F.col("newest"), moment(t))) for t in at]
+    return to_rows(newest, aged, ("metric_name", "column_name", "value"))
 
 
 def measure(df: DataFrame, key: str, required: Sequence[str], stamp: str, at: datetime) -> DataFrame:
@@ -169,10 +171,12 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"), F.count("*").alias("orphan_keys"))
 
 
-def too_few_rows(df: DataFrame, minimum: int) -> DataFrame:
-    """One row if the table is smaller than ``minimum``, none otherwise."""
-    return df.agg(F.count("*").alias("row_count")).filter(F.col("row_count") < minimum).select(
-        F.format_string("FAIL: row count below minimum (%d)", F.lit(minimum)).alias("violation"), "row_count")
+def too_few_rows(df: DataFrame, *minimums: int) -> DataFrame:
+    """One row per minimum the table falls short of."""
+    counted = df.agg(F.count("*").alias("row_count"))
+    required = counted.select(F.explode(F.array(*map(F.lit, minimums))).alias("required"), "row_count")
+    label = F.format_string("FAIL: row count below minimum (%d)", F.col("required"))
+    return required.filter(F.col("row_count") < F.col("required")).select("required", label.alias("violation"), "row_count")
 
 
 def stale(df: DataFrame, column: str, at: Sequence[datetime], hours: int = S.FRESHNESS_WARN_HOURS) -> DataFrame:

@@ -8,7 +8,7 @@ limits are written on the stored timestamp so that they reach the Parquet reader
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
@@ -153,24 +153,29 @@ def complaints(spark: SparkSession, folder: str, since: date | Column | None = N
 def product_snapshots(held: DataFrame, until: date | Column) -> DataFrame:
     """Month-end count of accounts open per customer, up to ``until``.
 
-    Each account lists the month ends it was open at, and the counts combine
-    before the shuffle, so customers with many accounts cost no more than others.
+    An account counts from the month end after its opening until the one after its
+    closure. Those changes are summed per customer and month *before* the calendar
+    is opened up, so the shuffles carry changes, not accounts × months, and the
+    window of a customer is no longer than the number of months with a change.
     """
     last = day(until)
-    end = F.least(last, F.coalesce("closed_date", last))
-    months = F.when(
-        F.col("opened_date") <= end,
-        F.sequence(F.trunc("opened_date", "MM"), F.trunc(end, "MM"), F.expr("INTERVAL 1 MONTH")),
-    )
-    month_ends = held.select("customer_id", "closed_date", F.explode(months).alias("month")).select(
-        "customer_id", "closed_date", F.last_day("month").alias("snapshot_date"))
-    return (
-        month_ends
-        .filter(F.col("snapshot_date") <= last)
-        .filter(F.col("closed_date").isNull() | (F.col("closed_date") > F.col("snapshot_date")))
-        .groupBy("customer_id", "snapshot_date")
-        .agg(F.count("*").cast("int").alias("product_count"))
+    last_month = F.add_months(F.trunc(F.date_add(last, 1), "MM"), -1)
+    change = lambda when, amount: F.struct(F.last_day(when).alias("month_end"), F.lit(amount).alias("change"))
+    changes = (
+        held.select("customer_id", F.inline(F.array(change("opened_date", 1), change("closed_date", -1))))
+        .filter(F.col("month_end") <= last)
+        .groupBy("customer_id", "month_end").agg(F.sum("change").alias("change"))
     )
+    ordered = Window.partitionBy("customer_id").orderBy("month_end")
+    spans = changes.select(
+        "customer_id", "month_end",
+        F.sum("change").over(ordered).cast("int").alias("product_count"),
+        F.lead("month_end").over(ordered).alias("next_change"),
+    ).filter("product_count > 0")
+    until_month = F.coalesce(F.add_months(F.trunc("next_change", "MM"), -1), last_month)
+    months = F.sequence(F.trunc("month_end", "MM"), until_month, F.expr("INTERVAL 1 MONTH"))
+    return spans.select("customer_id", F.explode(months).alias("month"), "product_count").select(
+        "customer_id", F.last_day("month").alias("snapshot_date"), "product_count")
 
 
 def load(spark: SparkSession, folder: str, as_of: date = S.AS_OF) -> Sources:

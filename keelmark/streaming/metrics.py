@@ -28,7 +28,7 @@ def appending(history: str, metrics: Callable[[DataFrame], DataFrame] = batch_me
 
 
 def start(
-    spark: SparkSession, folder: str, schema: StructType, history: str, checkpoint: str,
+    spark: SparkSession, folder: str, schema: StructType | str, history: str, checkpoint: str,
     glob: str = "*.parquet", files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Read what has arrived since the last run, then stop (``availableNow``)."""

@@ -10,7 +10,7 @@ from keelmark.operators import consumption, governance, quality
 from keelmark.plans import contract as contracts
 from keelmark.session import run_dir
 from keelmark.sources import banking
-from keelmark.sources.tables import table
+from keelmark.sources.tables import SCHEMAS, stored, table
 from keelmark.streaming import metrics as stream
 from parity.product_queries import V2_LIST, v1, v2  # noqa: F401
 from parity.quality_queries import share_sql
@@ -80,7 +80,7 @@ UNION ALL SELECT 'balance at risk with complaints by segment', customer_segment,
   FROM v1 WHERE complaint_flag GROUP BY 2
 """, "v1")
 def semantic_questions(spark, folder):
-    product = v1(spark, folder)
+    product = stored(v1(spark, folder), "v1")
     as_value = lambda column: column.cast("decimal(18,2)")
     asked = [
         ("average score by segment", "customer_segment", ratio(F.sum("churn_risk_score"), F.count("*"), 2), None),
@@ -116,7 +116,7 @@ UNION ALL SELECT 'clear', 'customer_name', count(*), count(*) FILTER (customer_n
 """, "v1")
 def masking_compliance(spark, folder):
     """A masked publication, and one that was released in clear by mistake."""
-    product = v1(spark, folder)
+    product = stored(v1(spark, folder), "v1")
     published = {"masked": ["analyst_external"], "clear": ["branch_manager"]}
     return quality.union([
         governance.masking_compliance(governance.masked_view(product, _CONTRACT, roles), product, _CONTRACT)
@@ -182,6 +182,5 @@ SELECT event_type AS table_name, count(*) AS row_count, count(*) FILTER (value <
 """)
 def stream_metrics(spark, folder):
     home = run_dir(spark, "stream")
-    schema = table(spark, folder, "events").schema
-    stream.start(spark, folder, schema, f"{home}/history", f"{home}/checkpoint", glob="events.parquet").awaitTermination()
+    stream.start(spark, folder, SCHEMAS["events"], f"{home}/history", f"{home}/checkpoint", glob="events.parquet").awaitTermination()
     return stream.combined(spark, f"{home}/history")

@@ -12,6 +12,7 @@ from keelmark import settings as S
 from keelmark.operators import quality, rules
 from keelmark.plans import contract as contracts
 from keelmark.sources import banking
+from keelmark.sources.tables import stored
 from parity.product_queries import v1, v2
 from parity.registry import query, view
 
@@ -163,8 +164,7 @@ def dq_row_count(spark, folder):
     f"SELECT 'FRESHNESS' AS metric_name, 'score_calculated_at' AS column_name, "
     f"(epoch_us(TIMESTAMP '{t}') - epoch_us(max(score_calculated_at))) // 1000000 AS value FROM v1" for t in CHECKS), "v1")
 def dq_freshness(spark, folder):
-    product = v1(spark, folder)
-    return quality.union([quality.freshness(product, "score_calculated_at", t) for t in CHECKS])
+    return quality.freshness(v1(spark, folder), "score_calculated_at", CHECKS)
 
 
 _EXPECTED = quality.product_expectations(minimum_rows=S.MINIMUM_ROWS)
@@ -187,7 +187,7 @@ def _expectation_sql() -> str:
 @query("dq_expectations", _expectation_sql(), "v1")
 def dq_expectations(spark, folder):
     required = [e.column for e in _EXPECTED if e.metric == "NULL_COUNT"]
-    metrics = quality.measure(v1(spark, folder), "customer_id", required, "score_calculated_at", CHECKS[1])
+    metrics = quality.measure(stored(v1(spark, folder), "v1"), "customer_id", required, "score_calculated_at", CHECKS[1])
     return quality.evaluate(metrics, _EXPECTED)
 
 
@@ -213,10 +213,10 @@ view("audit_copy", "SELECT * FROM audited_v1 WHERE target = 'audit'", "audited_v
     + _test_sql("v1", quality.PRODUCT_TESTS) + _test_sql("audit_copy", quality.PRODUCT_TESTS)), *SOURCE_VIEWS, "v1", "audit_copy")
 def column_tests(spark, folder):
     frames = _sources(spark, folder)
-    audited = audited_v1(spark, folder)
+    audited = stored(audited_v1(spark, folder), "audited")
     return quality.union([
         *[quality.column_tests(frames[t], t, tests) for t, tests in quality.SOURCE_TESTS.items()],
-        quality.column_tests(v1(spark, folder), "v1", quality.PRODUCT_TESTS),
+        quality.column_tests(audited.filter("target = 'published'"), "v1", quality.PRODUCT_TESTS),
         quality.column_tests(audited.filter("target = 'audit'"), "audit_copy", quality.PRODUCT_TESTS)])
 
 
@@ -226,9 +226,7 @@ SELECT 900 AS required, 'FAIL: row count below minimum (900)' AS violation, coun
 UNION ALL SELECT 1000000000, 'FAIL: row count below minimum (1000000000)', count(*) FROM v1 HAVING count(*) < 1000000000
 """, "v1")
 def dq003_min_rows(spark, folder):
-    product = v1(spark, folder)
-    return quality.union([
-        quality.too_few_rows(product, n).select(F.lit(n).alias("required"), "*") for n in (S.MINIMUM_ROWS, 1_000_000_000)])
+    return quality.too_few_rows(v1(spark, folder), S.MINIMUM_ROWS, 1_000_000_000)
 
 
 @query("freshness_sla", " UNION ALL ".join(
@@ -334,12 +332,12 @@ _BY = ("target",)
 
 @query("contract_suite", _suite_sql(_C1, "audited_v1", CHECKS[0], S.MINIMUM_ROWS), "audited_v1")
 def contract_suite(spark, folder):
-    return contracts.suite(audited_v1(spark, folder), _C1, CHECKS[0], S.MINIMUM_ROWS, _BY)
+    return contracts.suite(stored(audited_v1(spark, folder), "audited"), _C1, CHECKS[0], S.MINIMUM_ROWS, _BY)
 
 
 @query("contract_suite_v2", _suite_sql(_C2, "audited_v2", CHECKS[1], S.MINIMUM_ROWS), "audited_v2")
 def contract_suite_v2(spark, folder):
-    return contracts.suite(audited_v2(spark, folder), _C2, CHECKS[1], S.MINIMUM_ROWS, _BY)
+    return contracts.suite(stored(audited_v2(spark, folder), "audited"), _C2, CHECKS[1], S.MINIMUM_ROWS, _BY)
 
 
 @query("constraint_violations", _suite_sql(
@@ -380,7 +378,7 @@ _VALIDATION = {
     f"SELECT target, '{name}' AS test_name, if({m} {ok}, 'PASS', 'FAIL') AS result, {m} AS measured FROM audited_v1 GROUP BY target"
     for name, (m, ok) in _VALIDATION.items()), "audited_v1")
 def validation_suite(spark, folder):
-    return quality.validation_suite(audited_v1(spark, folder), _BY)
+    return quality.validation_suite(stored(audited_v1(spark, folder), "audited"), _BY)
 
 
 @query("validation_summary", f"""

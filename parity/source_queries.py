@@ -6,6 +6,7 @@ from keelmark import settings as S
 from keelmark.functions import temporal
 from keelmark.operators import features, shaping
 from keelmark.sources import banking, entities
+from keelmark.sources.tables import table
 from parity.registry import query, view
 
 # ------------------------------------------------------------------ SQL views
@@ -100,7 +101,7 @@ def _domain_sql() -> str:
 
 @query("schema_domain_violations", _domain_sql(), "customers", "accounts", "transactions", "complaints")
 def schema_domain_violations(spark, folder):
-    raw = spark.read.parquet(f"{folder}/customer.parquet").select(F.col("c_mktsegment").alias("customer_segment"))
+    raw = table(spark, folder, "customer").select(F.col("c_mktsegment").alias("customer_segment"))
     checked = [
         entities.domain_violations(banking.customers(spark, folder), "customers"),
         entities.domain_violations(banking.accounts(spark, folder), "accounts"),
@@ -221,7 +222,7 @@ def scalar_function_battery(spark, folder):
     placed, priority, status = F.to_date(ordered), F.col("o_orderpriority"), F.col("o_orderstatus")
     built = F.concat(F.lit('{"k":'), key.cast("string"), F.lit(',"s":{"v":"'), status, F.lit('"}}'))
     words = F.array(*map(F.lit, ("zero", "one", "two", "three", "four", "five")))
-    return spark.read.parquet(f"{folder}/orders.parquet").select(
+    return table(spark, folder, "orders").select(
         key.alias("order_key"),
         F.add_months(placed, -3).alias("three_months_before"),
         F.date_add(placed, 10).alias("ten_days_after"),
