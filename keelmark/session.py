@@ -31,14 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="keelmark-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="keelmark-"))
+    return context.getCheckpointDir()
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
