@@ -42,7 +42,18 @@ def ratio(part: Column, whole: Column, digits: int, factor: int = 1) -> Column:
     return F.round(exact, digits).cast(f"decimal(18,{digits})")
 
 
-def to_rows(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Turn every record into one output row per entry of ``rows`` (an unpivot without a join)."""
-    entries = [F.struct(*[c.alias(n) for c, n in zip(row, names, strict=True)]) for row in rows]
-    return df.select(*keep, F.inline(F.array(*entries)))
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def to_rows(df: DataFrame, rows: Iterable[Sequence[str]], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Turn every record into one output row per entry of ``rows`` (an unpivot without a join).
+
+    Entries are SQL expressions over the record; long lists of measures are written
+    this way because one parsed text replaces thousands of calls into the JVM.
+    """
+    entries = [
+        "named_struct(" + ", ".join(f"'{n}', {value}" for n, value in zip(names, row, strict=True)) + ")" for row in rows
+    ]
+    return df.selectExpr(*keep, f"inline(array({', '.join(entries)}))")

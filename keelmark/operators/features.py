@@ -96,6 +96,20 @@ def relationship_metrics(accounts: DataFrame, transactions: DataFrame, as_of: da
     )
 
 
+def distinct_monthly_average(accounts: DataFrame, transactions: DataFrame, as_of: date) -> DataFrame:
+    """Distinct movements of the recent window per month, for every customer with an active account.
+
+    Movements are reduced to distinct ids before they meet the accounts, in an inner
+    join (whose heavy partitions may be split), and only counts meet the customers.
+    """
+    owners = active(accounts).select("account_id", "customer_id")
+    window = F.col("txn_date").between(months_before(as_of, S.RECENT_MONTHS), day(as_of))
+    moved = transactions.filter(window).select("account_id", "txn_id").distinct()
+    counted = moved.join(owners, "account_id").groupBy("customer_id").agg(F.count_distinct("txn_id").alias("n"))
+    average = (F.coalesce("n", F.lit(0)) / S.RECENT_MONTHS).alias("avg_monthly_transactions")
+    return owners.select("customer_id").distinct().join(counted, "customer_id", "left").select("customer_id", average)
+
+
 def latest_engagement(engagement: DataFrame) -> DataFrame:
     """The newest measurement per customer (ties by id), as one aggregate rather than a sort per customer."""
     payload = ["measurement_date", "login_count_30d", "mobile_app_active", "online_banking_active", "features_used_count"]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
-from keelmark.functions.columns import masked, to_rows
+from keelmark.functions.columns import masked, text, to_rows
 from keelmark.functions.temporal import day
 from keelmark.plans.contract import Contract
 
@@ -28,7 +28,7 @@ def masking_compliance(published: DataFrame, original: DataFrame, contract: Cont
     paired = published.select(contract.key, *columns).join(kept, contract.key)
     measured = paired.agg(
         F.count("*").alias("checked"), *[F.count_if(~C(c).eqNullSafe(masked(C(f"_{c}")))).alias(c) for c in columns])
-    return to_rows(measured, [(F.lit(c), C("checked"), C(c)) for c in columns], ("column_name", "checked_rows", "unmasked_rows"))
+    return to_rows(measured, [(text(c), "checked", c) for c in columns], ("column_name", "checked_rows", "unmasked_rows"))
 
 
 def expired_accounts(accounts: DataFrame, as_of: date, months: int = S.RETENTION_MONTHS) -> DataFrame:

@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
-from keelmark.functions.columns import ratio, to_rows
+from keelmark.functions.columns import ratio, text, to_rows
 from keelmark.functions.temporal import hours_crossed, moment, seconds_elapsed
 from keelmark.operators.rules import RULES
 
 
+METRIC = ("metric_name", "column_name", "value")
+
+
 def union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -26,8 +29,8 @@ def union(frames: Sequence[DataFrame]) -> DataFrame:
 # -------------------------------------------------------------------- metrics
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = columns or df.columns
-    measured = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return to_rows(measured, [(F.lit("NULL_COUNT"), F.lit(c), F.col(c)) for c in columns], ("metric_name", "column_name", "value"))
+    measured = df.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in columns])
+    return to_rows(measured, [("'NULL_COUNT'", text(c), c) for c in columns], METRIC)
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
@@ -38,7 +41,7 @@ def duplicate_count(df: DataFrame, key: str) -> DataFrame:
 
 def unique_counts(df: DataFrame, columns: Sequence[str] = S.CARDINALITY_COLUMNS) -> DataFrame:
     measured = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
-    return to_rows(measured, [(F.lit("UNIQUE_COUNT"), F.lit(c), F.col(c)) for c in columns], ("metric_name", "column_name", "value"))
+    return to_rows(measured, [("'UNIQUE_COUNT'", text(c), c) for c in columns], METRIC)
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -49,17 +52,17 @@ def row_count(df: DataFrame) -> DataFrame:
 def freshness(df: DataFrame, column: str, at: Sequence[datetime]) -> DataFrame:
     """Age of the newest record at each check time."""
     newest = df.agg(F.max(column).alias("newest"))
-    aged = [(F.lit("FRESHNESS"), F.lit(column), seconds_elapsed(F.col("newest"), moment(t))) for t in at]
-    return to_rows(newest, aged, ("metric_name", "column_name", "value"))
+    aged = newest.select(*[seconds_elapsed(F.col("newest"), moment(t)).alias(f"m{i}") for i, t in enumerate(at)])
+    return to_rows(aged, [("'FRESHNESS'", text(column), f"m{i}") for i in range(len(at))], METRIC)
 
 
 def measure(df: DataFrame, key: str, required: Sequence[str], stamp: str, at: datetime) -> DataFrame:
     """The standing metrics of a product: nulls, rows and age in one pass, duplicates in another."""
-    nulls = [("NULL_COUNT", c, F.count_if(F.col(c).isNull())) for c in required]
+    nulls = [("NULL_COUNT", c, F.expr(f"count_if({c} IS NULL)")) for c in required]
     listed = [*nulls, ("ROW_COUNT", "*", F.count("*")), ("FRESHNESS", stamp, seconds_elapsed(F.max(stamp), moment(at)))]
     wide = df.agg(*[column.alias(f"m{i}") for i, (_, _, column) in enumerate(listed)])
-    rows = [(F.lit(metric), F.lit(name), F.col(f"m{i}")) for i, (metric, name, _) in enumerate(listed)]
-    return to_rows(wide, rows, ("metric_name", "column_name", "value")).unionByName(duplicate_count(df, key))
+    rows = [(text(metric), text(name), f"m{i}") for i, (metric, name, _) in enumerate(listed)]
+    return to_rows(wide, rows, METRIC).unionByName(duplicate_count(df, key))
 
 
 # --------------------------------------------------------------- expectations
@@ -146,10 +149,9 @@ def column_tests(df: DataFrame, table: str, tests: Mapping[str, Sequence]) -> Da
     plain = [(c, t) for c, listed in tests.items() for t in listed if t != "unique"]
     measures, rows = [], []
     for i, (name, test) in enumerate(plain):
-        value = F.col(name)
-        broken = value.isNull() if test == "not_null" else ~value.isin(*test)
-        measures.append(F.count_if(broken).alias(f"m{i}"))
-        rows.append((F.lit(table), F.lit(name), F.lit(test if test == "not_null" else "accepted_values"), F.col(f"m{i}")))
+        broken = f"{name} IS NULL" if test == "not_null" else f"{name} NOT IN ({', '.join(map(text, test))})"
+        measures.append(F.expr(f"count_if({broken}) AS m{i}"))
+        rows.append((text(table), text(name), "'not_null'" if test == "not_null" else "'accepted_values'", f"m{i}"))
     names = ("table_name", "column_name", "test", "failures")
     frames = [to_rows(df.agg(*measures), rows, names)]
     for name, listed in tests.items():
@@ -198,23 +200,23 @@ def validation_suite(df: DataFrame, by: Sequence[str] = (), minimum_rows: int =
     """The post-release checks as PASS/FAIL rows."""
     missing = reduce(Column.__or__, [F.col(c).isNull() for c in S.REQUIRED_FIELDS])
     listed = [
-        ("TEST 1: Row Count", F.count("*"), lambda m: m >= minimum_rows),
-        ("TEST 2: Required Fields Not Null", F.count_if(missing), None),
-        ("TEST 4: Churn Score Range", F.count_if(RULES["DQ001"].broken()), None),
-        ("TEST 5: Risk Tier Alignment", F.count_if(RULES["BR001"].broken()), None),
-        ("TEST 6: High Risk Has Driver", F.count_if(RULES["BR002"].broken()), None),
-        ("TEST 7: Urgent Escalation Check", F.count_if(RULES["BR003"].broken()), None),
-        ("TEST 8: Valid Risk Tiers", F.count_if(~F.col("risk_tier").isin(*S.TIERS)), None),
+        ("TEST 1: Row Count", F.count("*"), f">= {minimum_rows}"),
+        ("TEST 2: Required Fields Not Null", F.count_if(missing), "= 0"),
+        ("TEST 4: Churn Score Range", F.count_if(RULES["DQ001"].broken()), "= 0"),
+        ("TEST 5: Risk Tier Alignment", F.count_if(RULES["BR001"].broken()), "= 0"),
+        ("TEST 6: High Risk Has Driver", F.count_if(RULES["BR002"].broken()), "= 0"),
+        ("TEST 7: Urgent Escalation Check", F.count_if(RULES["BR003"].broken()), "= 0"),
+        ("TEST 8: Valid Risk Tiers", F.count_if(~F.col("risk_tier").isin(*S.TIERS)), "= 0"),
     ]
-    verdict = lambda passed: F.when(passed, "PASS").otherwise("FAIL")
+    verdict = lambda measure, passes: f"if({measure} {passes}, 'PASS', 'FAIL')"
     names = ("test_name", "result", "measured")
     wide = df.groupBy(*by).agg(*[m.alias(f"m{i}") for i, (_, m, _) in enumerate(listed)])
     rows = [
-        (F.lit(name), verdict(passes(F.col(f"m{i}")) if passes else F.col(f"m{i}") == 0), F.col(f"m{i}"))
+        (text(name), verdict(f"m{i}", passes), f"m{i}")
         for i, (name, _, passes) in enumerate(listed)
     ]
     repeated = df.groupBy(*by).agg((F.count("*") - F.count_distinct("customer_id")).alias("d"))
-    unique = to_rows(repeated, [(F.lit("TEST 3: Customer ID Unique"), verdict(F.col("d") == 0), F.col("d"))], names, by)
+    unique = to_rows(repeated, [("'TEST 3: Customer ID Unique'", verdict("d", "= 0"), "d")], names, by)
     return to_rows(wide, rows, names, by).unionByName(unique)
 
 

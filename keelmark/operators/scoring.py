@@ -88,11 +88,9 @@ def with_driver_detail(scored: DataFrame) -> DataFrame:
         "complaints": {"flag": "complaint_flag", "open_count": "open_complaints_count", "total_12m": "complaints_last_12m"},
         "dormancy": {"flag": "dormancy_flag", "days_inactive": "days_since_last_transaction"},
     }
-    parts = [
-        F.struct(*[C(source).alias(field) for field, source in fields.items()]).alias(name)
-        for name, fields in detail.items()
-    ]
-    return scored.withColumn("risk_drivers_json", F.to_json(F.struct(*parts)))
+    nested = lambda entries: "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in entries.items()) + ")"
+    record = nested({name: nested(fields) for name, fields in detail.items()})
+    return scored.withColumn("risk_drivers_json", F.expr(f"to_json({record})"))
 
 
 def with_intervention(scored: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelmark.functions.columns import to_rows
+from keelmark.functions.columns import text, to_rows
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str, version: str = "score_calculated_at") -> DataFrame:
@@ -31,9 +31,8 @@ def column_differences(old: DataFrame, new: DataFrame, key: str, columns: Sequen
     left = old.select(F.col(key).alias("_key"), F.struct(*columns).alias("o"))
     right = new.select(F.col(key).alias("_key"), F.struct(*columns).alias("n"))
     joined = left.join(right, "_key", "full")
-    both = F.col("o").isNotNull() & F.col("n").isNotNull()
     measures = [F.count_if(F.col("n").isNull()).alias("_only_old"), F.count_if(F.col("o").isNull()).alias("_only_new")]
-    measures += [F.count_if(both & ~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))).alias(f"{c}__changed") for c in columns]
-    rows = [(F.lit("missing rows"), F.lit(key), F.col("_only_old")), (F.lit("added rows"), F.lit(key), F.col("_only_new"))]
-    rows += [(F.lit("changed values"), F.lit(c), F.col(f"{c}__changed")) for c in columns]
+    measures += [F.expr(f"count_if(o IS NOT NULL AND n IS NOT NULL AND NOT (o.{c} <=> n.{c})) AS {c}__changed") for c in columns]
+    rows = [("'missing rows'", text(key), "_only_old"), ("'added rows'", text(key), "_only_new")]
+    rows += [("'changed values'", text(c), f"{c}__changed") for c in columns]
     return to_rows(joined.agg(*measures), rows, ("check_type", "column_name", "row_count"))

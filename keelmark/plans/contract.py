@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
-from keelmark.functions.columns import ratio, to_rows
+from keelmark.functions.columns import ratio, text, to_rows
 from keelmark.functions.temporal import moment, seconds_elapsed
 from keelmark.operators import rules
 
@@ -157,31 +157,40 @@ def bundled(version: str) -> Contract:
 
 @dataclass(frozen=True)
 class Check:
+    """One measure of a contract: ``measure`` is an aggregate, as SQL text or as a column."""
+
     rule: str
     column: str
-    measure: Column
+    measure: str | Column
     limit: float
     at_least: bool = False
     severity: str = "error"
 
-    def violated(self, value: Column) -> Column:
-        limit = F.lit(self.limit).cast(VALUE)
-        return value < limit if self.at_least else value > limit
+    def measured(self, name: str) -> Column:
+        if isinstance(self.measure, str):
+            return F.expr(f"CAST({self.measure} AS {VALUE}) AS {name}")
+        return self.measure.cast(VALUE).alias(name)
+
+
+def _counted(rule: str, column: str, broken: str, **details) -> Check:
+    return Check(rule, column, f"count_if({broken})", 0, **details)
 
 
 def constraint_checks(contract: Contract) -> list[Check]:
     """Counts of values outside the declared enumerations, ranges, lengths and expressions."""
+    literal = lambda value: text(value) if isinstance(value, str) else str(value)
     found = []
     for field in contract.fields:
-        value = F.col(field.name)
-        limits = (
-            ("accepted_values", field.allowed, lambda: ~value.isin(*field.allowed)),
-            ("minimum", field.minimum is not None, lambda: value < field.minimum),
-            ("maximum", field.maximum is not None, lambda: value > field.maximum),
-            ("max_length", field.max_length, lambda: F.length(value.cast("string")) > field.max_length),
-        )
-        found += [Check(rule, field.name, F.count_if(broken()), 0) for rule, declared, broken in limits if declared]
-        found += [Check("check", field.name, F.count_if(~F.expr(text)), 0) for text in field.checks]
+        name = field.name
+        if field.allowed:
+            found.append(_counted("accepted_values", name, f"{name} NOT IN ({', '.join(map(literal, field.allowed))})"))
+        if field.minimum is not None:
+            found.append(_counted("minimum", name, f"{name} < {field.minimum}"))
+        if field.maximum is not None:
+            found.append(_counted("maximum", name, f"{name} > {field.maximum}"))
+        if field.max_length:
+            found.append(_counted("max_length", name, f"length(CAST({name} AS STRING)) > {field.max_length}"))
+        found += [_counted("check", name, f"NOT ({expression})") for expression in field.checks]
     return found
 
 
@@ -195,9 +204,11 @@ def completeness_checks(contract: Contract) -> list[Check]:
 def business_checks(contract: Contract) -> list[Check]:
     found = []
     for rule in contract.business_rules:
-        broken = ~F.expr(rule["validation"]) if "validation" in rule else rules.RULES[rule["rule_id"]].broken()
-        name = rule.get("rule_id") or rule["name"]
-        found.append(Check("business_rule", name, F.count_if(broken), 0, severity=rule.get("severity", "error")))
+        name, severity = rule.get("rule_id") or rule["name"], rule.get("severity", "error")
+        if "validation" in rule:
+            found.append(_counted("business_rule", name, f"NOT ({rule['validation']})", severity=severity))
+        else:
+            found.append(Check("business_rule", name, F.count_if(rules.RULES[name].broken()), 0, severity=severity))
     return found
 
 
@@ -205,21 +216,22 @@ def all_checks(contract: Contract, at: datetime, minimum_rows: int | None = None
     """Everything one aggregate can answer; uniqueness needs its own (see ``suite``)."""
     stamp = contract.freshness_column
     return [
-        *[Check("not_null", name, F.count_if(F.col(name).isNull()), 0) for name in contract.required],
+        *[_counted("not_null", name, f"{name} IS NULL") for name in contract.required],
         *constraint_checks(contract),
         *completeness_checks(contract),
         *business_checks(contract),
         Check("freshness_seconds", stamp, seconds_elapsed(F.max(stamp), moment(at)), contract.fail_hours * 3600),
-        Check("row_count", "*", F.count("*"), contract.minimum_rows if minimum_rows is None else minimum_rows, at_least=True),
+        Check("row_count", "*", "count(*)", contract.minimum_rows if minimum_rows is None else minimum_rows, at_least=True),
     ]
 
 
 def evaluate(df: DataFrame, checks: list[Check], by: tuple[str, ...] = ()) -> DataFrame:
     """All measures in one aggregate, turned into one row per check."""
-    measured = df.groupBy(*by).agg(*[c.measure.cast(VALUE).alias(f"m{i}") for i, c in enumerate(checks)])
+    measured = df.groupBy(*by).agg(*[c.measured(f"m{i}") for i, c in enumerate(checks)])
+    limited = [(c, f"m{i}", f"CAST({c.limit} AS {VALUE})") for i, c in enumerate(checks)]
     rows = [
-        (F.lit(c.rule), F.lit(c.column), F.lit(c.severity), F.col(f"m{i}"), F.lit(c.limit).cast(VALUE), c.violated(F.col(f"m{i}")))
-        for i, c in enumerate(checks)
+        (text(c.rule), text(c.column), text(c.severity), value, limit, f"{value} {'<' if c.at_least else '>'} {limit}")
+        for c, value, limit in limited
     ]
     return to_rows(measured, rows, ("rule", "column_name", "severity", "value", "limit_value", "violated"), by)
 
@@ -235,7 +247,7 @@ def suite(
     result = evaluate(df, all_checks(contract, at, minimum_rows), by)
     for field in contract.fields:
         if field.unique:
-            duplicates = F.count("*") - F.count_distinct(field.name)
+            duplicates = f"count(*) - count(DISTINCT {field.name})"
             result = result.unionByName(
                 evaluate(df.select(*by, field.name), [Check("unique", field.name, duplicates, 0)], by))
     return result

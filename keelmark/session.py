@@ -21,6 +21,23 @@ def local_session(cpus: int | str = "*", app: str = "keelmark", shuffle_partitio
     )
 
 
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of data, to be passed to spark-submit.
+
+    Shuffles start with partitions of about 128 MB and are merged at run time where
+    less arrives; partitions far above the median are split in joins.
+    """
+    partitions = max(200, input_bytes // (128 * 1024**2))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def use_utc(spark: SparkSession) -> None:
     """Sources carry zone-less timestamps; hour and second arithmetic reads them as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
+from keelmark.functions.columns import text
 from keelmark.functions.temporal import day
 from keelmark.sources.tables import table
 
@@ -32,16 +33,14 @@ class Sources:
     complaints: DataFrame
 
 
-def _pick(values: tuple[str, ...], position: Column) -> Column:
-    """Zero-based pick from a list of literals."""
-    return F.element_at(F.array(*map(F.lit, values)), (position + 1).cast("int"))
+def _pick(values: tuple[str, ...], position: str) -> Column:
+    """Zero-based pick from a list of literals; ``position`` is a SQL expression."""
+    return F.expr(f"element_at(array({', '.join(map(text, values))}), CAST({position} AS INT) + 1)")
 
 
-def _mapped(value: Column, mapping: dict[str, str], default: str) -> Column:
-    result = F.lit(default)
-    for raw, target in reversed(mapping.items()):
-        result = F.when(value == raw, F.lit(target)).otherwise(result)
-    return result
+def _mapped(column: str, mapping: dict[str, str], default: str) -> Column:
+    cases = " ".join(f"WHEN {text(raw)} THEN {text(target)}" for raw, target in mapping.items())
+    return F.expr(f"CASE {column} {cases} ELSE {text(default)} END")
 
 
 def _priority_digit() -> Column:
@@ -62,9 +61,9 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         key.alias("customer_id"),
         F.col("c_name").alias("customer_name"),
-        _mapped(F.col("c_mktsegment"), SEGMENT_OF_MARKET, "MASS_MARKET").alias("customer_segment"),
+        _mapped("c_mktsegment", SEGMENT_OF_MARKET, "MASS_MARKET").alias("customer_segment"),
         F.col("r_name").alias("region"),
-        _pick(ONBOARDING_CHANNELS, key % 5).alias("onboarding_channel"),
+        _pick(ONBOARDING_CHANNELS, "c_custkey % 5").alias("onboarding_channel"),
         F.date_sub(F.lit(S.AS_OF), (F.lit(30) + (key * 37) % 5445).cast("int")).alias("onboarding_date"),
         F.when(key % 50 == 0, "PENDING_REVIEW").otherwise("VERIFIED").alias("kyc_status"),
     )
@@ -81,7 +80,7 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
     balances = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").cast("decimal(15,2)").alias("balance"))
     closed = (F.col("customer_id") * 7 + F.col("digit")) % 20 == 0
-    kind = _pick(ACCOUNT_TYPES, F.col("digit") - 1)
+    kind = _pick(ACCOUNT_TYPES, "digit - 1")
     return grouped.join(balances, "customer_id", "left").select(
         (F.col("customer_id") * 10 + F.col("digit")).alias("account_id"),
         "customer_id",
@@ -111,7 +110,7 @@ def transactions(
         _account_key().alias("account_id"),
         F.to_date(shipped).alias("txn_date"),
         F.when(F.col("l_returnflag") == "R", -money).otherwise(money).cast("decimal(15,2)").alias("amount"),
-        _pick(TXN_CHANNELS, F.col("l_linenumber") % 6).alias("channel"),
+        _pick(TXN_CHANNELS, "l_linenumber % 6").alias("channel"),
     )
 
 

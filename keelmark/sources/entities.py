@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelmark.functions.columns import to_rows
+from keelmark.functions.columns import text, to_rows
 
 # ---------------------------------------------------------------- fixed values
 # name type [?]: a question mark allows nulls.
@@ -113,7 +113,7 @@ def domain_violations(df: DataFrame, entity: str, label: str | None = None) -> D
         measures.append(F.count_if(~F.col(column).isin(*domain)).alias(f"{column}__bad"))
         measures.append(F.count_if(F.col(column).isNull()).alias(f"{column}__null"))
     rows = [
-        (F.lit(label or entity), F.lit(column), F.col(f"{column}__bad"), F.col(f"{column}__null"), F.col("row_count"))
+        (text(label or entity), text(column), f"{column}__bad", f"{column}__null", "row_count")
         for column in checked
     ]
     return to_rows(df.agg(*measures), rows, ("entity", "column_name", "violations", "nulls", "row_count"))

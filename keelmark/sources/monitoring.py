@@ -27,12 +27,9 @@ def metric_history(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "events")
         .groupBy(F.col("event_type").alias("table_name"), end.alias("measurement_time"))
         .agg(F.count("*").alias("n"), F.max("ts").alias("newest"), F.count_if(F.col("value") < 1).alias("empty"))
+        .withColumn("age", seconds_elapsed(F.col("newest"), F.col("measurement_time")))
     )
-    rows = [
-        (F.lit("ROW_COUNT"), F.lit("*"), F.col("n")),
-        (F.lit("FRESHNESS"), F.lit("ts"), seconds_elapsed(F.col("newest"), F.col("measurement_time"))),
-        (F.lit("NULL_COUNT"), F.lit("value"), F.col("empty")),
-    ]
+    rows = [("'ROW_COUNT'", "'*'", "n"), ("'FRESHNESS'", "'ts'", "age"), ("'NULL_COUNT'", "'value'", "empty")]
     return to_rows(daily, rows, ("metric_name", "column_name", "value"), ("table_name", "measurement_time"))
 
 

@@ -23,7 +23,7 @@ def batch_metrics(events: DataFrame) -> DataFrame:
 
 def appending(history: str, metrics: Callable[[DataFrame], DataFrame] = batch_metrics) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        metrics(batch).coalesce(1).write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
+        metrics(batch).write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
     return write
 
 

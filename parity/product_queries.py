@@ -204,12 +204,8 @@ FROM accounts LEFT JOIN (SELECT * FROM transactions WHERE txn_date <= DATE '2001
 WHERE account_status = 'ACTIVE' GROUP BY customer_id
 """, "accounts", "transactions")
 def avg_monthly_txn_distinct(spark, folder):
-    recent = banking.transactions(spark, folder, F.add_months(F.lit(S.AS_OF), -S.RECENT_MONTHS), S.AS_OF)
-    return (
-        features.active(banking.accounts(spark, folder)).select("account_id", "customer_id")
-        .join(recent.select("account_id", "txn_id"), "account_id", "left")
-        .groupBy("customer_id").agg((F.count_distinct("txn_id") / 3).alias("avg_monthly_transactions"))
-    )
+    s = banking.load(spark, folder)
+    return features.distinct_monthly_average(s.accounts, s.transactions, S.AS_OF)
 
 
 @query("latest_engagement", "SELECT * FROM latest_engagement", "latest_engagement")
