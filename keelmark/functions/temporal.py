@@ -38,14 +38,18 @@ def days_crossed(start: Column, end: Column) -> Column:
     return F.datediff(F.to_date(end), F.to_date(start))
 
 
-def _micros(value: Column) -> Column:
-    return F.unix_micros(value.cast("timestamp"))
+def _hours(value: Column) -> Column:
+    """Hours since the epoch, from the fields of the timestamp: no zone is involved."""
+    return F.unix_date(F.to_date(value)).cast("bigint") * 24 + F.hour(value)
 
 
 def hours_crossed(start: Column, end: Column) -> Column:
-    hour = 3_600_000_000
-    micros = _micros(F.date_trunc("hour", end)) - _micros(F.date_trunc("hour", start))
-    return (micros / hour).cast("bigint")
+    return _hours(end) - _hours(start)
+
+
+def _micros(value: Column) -> Column:
+    seconds = F.date_part(F.lit("SECOND"), value)
+    return (_hours(value) * 60 + F.minute(value)) * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def seconds_elapsed(start: Column, end: Column) -> Column:
@@ -54,4 +58,4 @@ def seconds_elapsed(start: Column, end: Column) -> Column:
 
 
 def hour_of(value: Column) -> Column:
-    return F.date_trunc("hour", value).cast("timestamp_ntz")
+    return F.to_date(value).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(value))

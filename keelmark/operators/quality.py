@@ -164,13 +164,21 @@ def column_tests(df: DataFrame, table: str, tests: Mapping[str, Sequence]) -> Da
 
 
 # ------------------------------------------------------------ integrity, limits
-def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows without a parent. Children are counted per key before the anti join, so a
-    foreign key that owns much of the table is one record there."""
-    per_key = child.filter(F.col(foreign_key).isNotNull()).groupBy(foreign_key).agg(F.count("*").alias("n"))
-    parents = parent.select(F.col(key).alias("_parent"))
-    missing = per_key.join(parents, F.col(foreign_key) == F.col("_parent"), "left_anti")
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"), F.count("*").alias("orphan_keys"))
+def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str, eligible: Column | None = None) -> DataFrame:
+    """Child rows without a parent, and child rows whose parent is not ``eligible``.
+
+    Children are counted per key before the join, so a foreign key that owns much of
+    the table is one record there.
+    """
+    per_key = child.filter(F.col(foreign_key).isNotNull()).groupBy(F.col(foreign_key).alias("_child")).agg(F.count("*").alias("n"))
+    parents = parent.groupBy(F.col(key).alias("_parent")).agg(
+        F.bool_or(F.lit(True) if eligible is None else eligible).alias("_eligible"))
+    joined = per_key.join(parents, F.col("_child") == F.col("_parent"), "left")
+    missing = F.col("_parent").isNull()
+    excluded = ~missing & ~F.coalesce("_eligible", F.lit(False))
+    rows_where = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    return joined.agg(
+        rows_where(missing).alias("orphan_rows"), F.count_if(missing).alias("orphan_keys"), rows_where(excluded).alias("ineligible_rows"))
 
 
 def too_few_rows(df: DataFrame, *minimums: int) -> DataFrame:

@@ -18,6 +18,16 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, version: str = "sc
     return both.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank", "_incoming")
 
 
+def incremental_refresh(previous: str, incoming: DataFrame, key: str, target: str, version: str = "score_calculated_at") -> DataFrame:
+    """Keyed refresh of a stored product: the merged table is written to a new folder.
+
+    The previous folder is left as it was, so a failed run can simply be repeated.
+    """
+    current = incoming.sparkSession.read.parquet(previous)
+    upsert(current, incoming, key, version).write.parquet(target)
+    return incoming.sparkSession.read.parquet(target)
+
+
 def version_summary(df: DataFrame, label: str, stamp: str) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), F.max(stamp).alias("as_of")).select(
         F.lit(label).alias("version"), "row_count", F.lit(len(df.columns)).alias("column_count"), "as_of")

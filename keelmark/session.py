@@ -39,7 +39,7 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
 
 
 def use_utc(spark: SparkSession) -> None:
-    """Sources carry zone-less timestamps; hour and second arithmetic reads them as UTC."""
+    """Sources carry zone-less timestamps in UTC; anything that does consult the session zone should agree."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

@@ -116,7 +116,7 @@ def transactions(
 
 def digital_engagement(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly activity per customer."""
-    week = F.to_date(F.date_trunc("week", "ts"))
+    week = F.trunc(F.to_date("ts"), "week")
     person = F.col("user_id") * 10 + F.col("event_id") % 10
     weekly = (
         table(spark, folder, "events")

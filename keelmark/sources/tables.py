@@ -90,4 +90,4 @@ def publish(df: DataFrame, name: str, materialisation: str = "table", path: str
         refresh(df, path)
         df.sparkSession.read.parquet(path).createOrReplaceTempView(name)
     else:
-        raise ValueError(f"unknown materialisation {materialisation!r}; for keyed refreshes see operators.versions.upsert")
+        raise ValueError(f"unknown materialisation {materialisation!r}; for keyed refreshes see operators.versions.incremental_refresh")

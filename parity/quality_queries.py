@@ -253,34 +253,26 @@ def high_risk_pct(spark, folder):
     return quality.high_risk_share(v1(spark, folder))
 
 
+_FOREIGN_KEYS = (
+    ("accounts", "customer_id", "customers", "customer_id"), ("transactions", "account_id", "accounts", "account_id"),
+    ("digital_engagement", "customer_id", "customers", "customer_id"), ("complaints", "customer_id", "customers", "customer_id"),
+    ("v1", "customer_id", "customers", "customer_id"))
+_ELIGIBLE = {"customers": "kyc_status = 'VERIFIED'", "accounts": "account_status = 'ACTIVE'"}
+
+
 @query("referential_integrity", " UNION ALL ".join(
-    f"SELECT '{child}.{fk}' AS foreign_key, '{label}' AS parent, CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows, count(*) AS orphan_keys FROM "
-    f"(SELECT {fk}, count(*) AS n FROM {child} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {key} FROM {parent}) GROUP BY {fk})"
-    for child, fk, parent, key, label in (
-        ("accounts", "customer_id", "customers", "customer_id", "customers"),
-        ("transactions", "account_id", "accounts", "account_id", "accounts"),
-        ("digital_engagement", "customer_id", "customers", "customer_id", "customers"),
-        ("complaints", "customer_id", "customers", "customer_id", "customers"),
-        ("v1", "customer_id", "customers", "customer_id", "customers"),
-        ("accounts", "customer_id", "v1", "customer_id", "verified customers"),
-        ("digital_engagement", "customer_id", "v1", "customer_id", "verified customers"),
-        ("complaints", "customer_id", "v1", "customer_id", "verified customers"))), *SOURCE_VIEWS, "v1")
+    f"SELECT '{child}.{fk}' AS foreign_key, '{parent}' AS parent, "
+    f"count(*) FILTER ({fk} NOT IN (SELECT {key} FROM {parent})) AS orphan_rows, "
+    f"count(DISTINCT {fk}) FILTER ({fk} NOT IN (SELECT {key} FROM {parent})) AS orphan_keys, "
+    f"count(*) FILTER ({fk} IN (SELECT {key} FROM {parent} WHERE NOT ({_ELIGIBLE[parent]}))) AS ineligible_rows FROM {child}"
+    for child, fk, parent, key in _FOREIGN_KEYS), *SOURCE_VIEWS, "v1")
 def referential_integrity(spark, folder):
-    s, product = _sources(spark, folder), v1(spark, folder)
-    verified = s["customers"].filter("kyc_status = 'VERIFIED'")
-    checks = [
-        ("accounts.customer_id", "customers", s["accounts"], "customer_id", s["customers"], "customer_id"),
-        ("transactions.account_id", "accounts", s["transactions"], "account_id", s["accounts"], "account_id"),
-        ("digital_engagement.customer_id", "customers", s["digital_engagement"], "customer_id", s["customers"], "customer_id"),
-        ("complaints.customer_id", "customers", s["complaints"], "customer_id", s["customers"], "customer_id"),
-        ("v1.customer_id", "customers", product, "customer_id", s["customers"], "customer_id"),
-        ("accounts.customer_id", "verified customers", s["accounts"], "customer_id", verified, "customer_id"),
-        ("digital_engagement.customer_id", "verified customers", s["digital_engagement"], "customer_id", verified, "customer_id"),
-        ("complaints.customer_id", "verified customers", s["complaints"], "customer_id", verified, "customer_id"),
-    ]
+    """Rows without a parent, and rows of unverified customers or closed accounts."""
+    frames = {**_sources(spark, folder), "v1": v1(spark, folder)}
     return quality.union([
-        quality.orphans(child, fk, parent, key).select(F.lit(name).alias("foreign_key"), F.lit(label).alias("parent"), "*")
-        for name, label, child, fk, parent, key in checks])
+        quality.orphans(frames[child], fk, frames[parent], key, F.expr(_ELIGIBLE[parent]))
+        .select(F.lit(f"{child}.{fk}").alias("foreign_key"), F.lit(parent).alias("parent"), "*")
+        for child, fk, parent, key in _FOREIGN_KEYS])
 
 
 # ------------------------------------------------------------- contract checks

@@ -115,6 +115,19 @@ def schema_domain_violations(spark, folder):
     return result
 
 
+@query("conformed_accounts", """
+SELECT CAST(account_id AS VARCHAR) AS account_id, CAST(customer_id AS VARCHAR) AS customer_id, account_type,
+       CAST(NULL AS VARCHAR) AS product_name, account_status, opened_date, closed_date, current_balance,
+       CAST(0 AS DECIMAL(15,2)) AS available_balance, CAST(0 AS DECIMAL(15,2)) AS overdraft_limit,
+       CAST(NULL AS DECIMAL(5,4)) AS interest_rate, CAST(NULL AS VARCHAR) AS branch_code,
+       CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
+FROM accounts
+""", "accounts")
+def conformed_accounts(spark, folder):
+    """The feed cast to the enterprise model: declared types, declared defaults, absent fields empty."""
+    return entities.conform(banking.accounts(spark, folder), "accounts")
+
+
 @query("source_volumes", "\nUNION ALL ".join(
     f"SELECT '{t}' AS source, count(*) AS row_count FROM {t}"
     for t in ("customers", "accounts", "transactions", "digital_engagement", "complaints")),

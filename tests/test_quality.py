@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from keelmark.operators import quality, rules
 from tests.helpers import rows
@@ -82,10 +83,10 @@ def test_column_tests(spark):
 
 
 def test_orphans_count_rows_and_keys(spark):
-    child = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "fk int")
-    parent = spark.createDataFrame([(1,)], "id int")
-    assert rows(quality.orphans(child, "fk", parent, "id")) == [(3, 2)]
-    assert rows(quality.orphans(child.filter("fk = 1"), "fk", parent, "id")) == [(0, 0)]
+    child = spark.createDataFrame([(1,), (2,), (2,), (3,), (4,), (4,), (4,), (None,)], "fk int")
+    parent = spark.createDataFrame([(1, True), (1, True), (4, False)], "id int, good boolean")
+    assert rows(quality.orphans(child, "fk", parent, "id", F.col("good"))) == [(3, 2, 3)]
+    assert rows(quality.orphans(child.filter("fk = 1"), "fk", parent, "id")) == [(0, 0, 0)]
 
 
 def test_minimum_and_age_return_rows_only_when_broken(spark):

@@ -19,6 +19,15 @@ def test_upsert_keeps_the_newest_row_and_prefers_the_incoming_one(spark):
     assert rows(versions.upsert(versions.upsert(old, new, "k"), new, "k")) == rows(versions.upsert(old, new, "k"))
 
 
+def test_incremental_refresh_leaves_the_previous_table_alone(spark, tmp_path):
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    frame = lambda *rows: spark.createDataFrame(rows, "k int, score_calculated_at timestamp_ntz, v string")
+    frame((1, datetime(2024, 1, 1), "x"), (2, datetime(2024, 1, 1), "x")).write.parquet(first)
+    merged = versions.incremental_refresh(first, frame((2, datetime(2024, 1, 2), "y"), (3, datetime(2024, 1, 2), "y")), "k", second)
+    assert rows(merged.select("k", "v")) == [(1, "x"), (2, "y"), (3, "y")]
+    assert spark.read.parquet(first).count() == 2
+
+
 def test_column_differences(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "k int, x string, y int")
     new = spark.createDataFrame([(1, "a", None), (2, "B", None), (4, "d", 1)], "k int, x string, y int")
