@@ -47,6 +47,11 @@ def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def literal(value) -> str:
+    """A configured value as SQL: strings are quoted, numbers are not."""
+    return text(value) if isinstance(value, str) else str(value)
+
+
 def to_rows(df: DataFrame, rows: Iterable[Sequence[str]], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Turn every record into one output row per entry of ``rows`` (an unpivot without a join).
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
-from keelmark.functions.columns import ratio, text, to_rows
+from keelmark.functions.columns import literal, ratio, text, to_rows
 from keelmark.functions.temporal import hours_crossed, moment, seconds_elapsed
 from keelmark.operators.rules import RULES
 
@@ -149,7 +149,7 @@ def column_tests(df: DataFrame, table: str, tests: Mapping[str, Sequence]) -> Da
     plain = [(c, t) for c, listed in tests.items() for t in listed if t != "unique"]
     measures, rows = [], []
     for i, (name, test) in enumerate(plain):
-        broken = f"{name} IS NULL" if test == "not_null" else f"{name} NOT IN ({', '.join(map(text, test))})"
+        broken = f"{name} IS NULL" if test == "not_null" else f"{name} NOT IN ({', '.join(map(literal, test))})"
         measures.append(F.expr(f"count_if({broken}) AS m{i}"))
         rows.append((text(table), text(name), "'not_null'" if test == "not_null" else "'accepted_values'", f"m{i}"))
     names = ("table_name", "column_name", "test", "failures")

@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
-from keelmark.functions.columns import ratio, text, to_rows
+from keelmark.functions.columns import literal, ratio, text, to_rows
 from keelmark.functions.temporal import moment, seconds_elapsed
-from keelmark.operators import rules
+from keelmark.operators import quality, rules
 
 VALUE = "decimal(18,2)"
 
+# ---------------------------------------------------------------- fixed values
+DIMENSION_TAGS = {"classification", "segment", "tier", "risk_tier", "geography"}
+# ------------------------------------------------------------ end fixed values
+
 
 @dataclass(frozen=True)
 class Field:
@@ -65,12 +69,27 @@ class Contract:
         named = [f.name for f in self.fields if f.required or self.completeness.get(f.name) == 100]
         return named if self.key in named else [self.key, *named]
 
+    @property
+    def unique(self) -> list[str]:
+        """The key, and every field declared unique."""
+        return list(dict.fromkeys([self.key, *(f.name for f in self.fields if f.unique)]))
+
+    @property
+    def dimensions(self) -> list[str]:
+        """Fields whose cardinality is worth tracking: tagged as dimensions, or enumerated."""
+        return [f.name for f in self.fields if f.allowed or DIMENSION_TAGS & set(f.tags)]
+
 
 def _number(text) -> int | None:
     digits = re.search(r"\d+", str(text or ""))
     return int(digits.group()) if digits else None
 
 
+def _role_names(roles) -> frozenset[str]:
+    """Case-folded names; entries may be plain names or records with a ``role``."""
+    return frozenset((r["role"] if isinstance(r, Mapping) else r).lower() for r in roles)
+
+
 def _field(name: str, spec: Mapping) -> Field:
     limits = spec.get("constraints", {})
     kind = str(spec.get("type", "string"))
@@ -119,7 +138,8 @@ def from_document(document: Mapping) -> Contract:
         _number(freshness.get("max_age")), _number(freshness.get("warning_threshold")),
         sla_freshness.get("max_age_hours"), sla_freshness.get("alert_threshold_hours")) if h]
     sla_rows = sla.get("row_count") if isinstance(sla.get("row_count"), Mapping) else {}
-    governance = spec.get("access_control", {}).get("data_governance", {})
+    access = spec.get("access_control", {})
+    governance = access.get("data_governance", {})
     years = _number(governance.get("retention_policy")) or _number(
         spec.get("compliance", {}).get("data_retention", {}).get("period"))
 
@@ -129,7 +149,7 @@ def from_document(document: Mapping) -> Contract:
         key=key,
         fields=tuple(by_name.values()),
         masks=tuple(
-            Mask(policy.get("applies_to") or policy["column"], frozenset(r.lower() for r in policy["authorized_roles"]))
+            Mask(policy.get("applies_to") or policy["column"], _role_names(policy.get("authorized_roles", access.get("authorized_roles", []))))
             for policy in spec.get("masking_policies", {}).values()),
         completeness=completeness,
         business_rules=tuple(quality.get("business_rules", ())),
@@ -178,7 +198,6 @@ def _counted(rule: str, column: str, broken: str, **details) -> Check:
 
 def constraint_checks(contract: Contract) -> list[Check]:
     """Counts of values outside the declared enumerations, ranges, lengths and expressions."""
-    literal = lambda value: text(value) if isinstance(value, str) else str(value)
     found = []
     for field in contract.fields:
         name = field.name
@@ -245,14 +264,41 @@ def suite(
     through a distinct aggregate would shuffle them once per key.
     """
     result = evaluate(df, all_checks(contract, at, minimum_rows), by)
-    for field in contract.fields:
-        if field.unique:
-            duplicates = f"count(*) - count(DISTINCT {field.name})"
-            result = result.unionByName(
-                evaluate(df.select(*by, field.name), [Check("unique", field.name, duplicates, 0)], by))
+    for name in contract.unique:
+        duplicates = f"count(*) - count(DISTINCT {name})"
+        result = result.unionByName(evaluate(df.select(*by, name), [Check("unique", name, duplicates, 0)], by))
     return result
 
 
+def expectations(contract: Contract, minimum_rows: int | None = None) -> list[quality.Expectation]:
+    """The standing expectations a contract implies over ``metrics``."""
+    stamp = contract.freshness_column
+    return [
+        *[quality.Expectation(f"no_null_{name}", "NULL_COUNT", name, "=", 0) for name in contract.required],
+        quality.Expectation(f"no_duplicate_{contract.key}", "DUPLICATE_COUNT", contract.key, "=", 0),
+        quality.Expectation("freshness_sla", "FRESHNESS", stamp, "<=", contract.fail_hours * 3600),
+        quality.Expectation("min_row_count", "ROW_COUNT", "*", ">=", contract.minimum_rows if minimum_rows is None else minimum_rows),
+    ]
+
+
+def metrics(df: DataFrame, contract: Contract, at: datetime) -> DataFrame:
+    """The metrics a contract asks for, as history rows: nulls, duplicates, rows, age and cardinalities."""
+    standing = quality.measure(df, contract.key, contract.required, contract.freshness_column, at)
+    return standing.unionByName(quality.unique_counts(df, contract.dimensions))
+
+
+def column_tests(contract: Contract) -> dict[str, tuple]:
+    """Column tests for ``quality.column_tests``: the key is unique, required fields are filled, enumerations hold."""
+    tests: dict[str, tuple] = {}
+    for field in contract.fields:
+        listed = ("unique",) if field.name in contract.unique else ()
+        listed += ("not_null",) if field.name in contract.required else ()
+        listed += (field.allowed,) if field.allowed else ()
+        if listed:
+            tests[field.name] = listed
+    return tests
+
+
 def gate(results: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Release decision over ``suite`` rows: no rule of severity ``error`` may be violated."""
     def broken(severity: str) -> Column:

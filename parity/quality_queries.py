@@ -191,6 +191,31 @@ def dq_expectations(spark, folder):
     return quality.evaluate(metrics, _EXPECTED)
 
 
+_C1, _C2 = contracts.bundled(S.V1), contracts.bundled(S.V2)
+_CONTRACT_METRICS = (
+    [("NULL_COUNT", c) for c in S.V1_COLUMNS] + [("DUPLICATE_COUNT", "customer_id"), ("ROW_COUNT", "*"), ("FRESHNESS", "score_calculated_at")])
+_TRACKED = ("customer_segment", "region", "transaction_trend", "balance_trend", "risk_tier", "primary_risk_driver", "recommended_intervention")
+
+
+@query("contract_metrics", " UNION ALL ".join(
+    [f"SELECT '{m}' AS metric_name, '{c}' AS column_name, {_METRIC_SQL[m].format(c=c)} AS value FROM v1" for m, c in _CONTRACT_METRICS]
+    + [f"SELECT 'UNIQUE_COUNT', '{c}', count(DISTINCT {c}) FROM v1" for c in _TRACKED]), "v1")
+def contract_metrics(spark, folder):
+    return contracts.metrics(stored(v1(spark, folder), "v1"), _C1, CHECKS[1])
+
+
+@query("contract_expectations", f"""
+SELECT * FROM (
+  {" UNION ALL ".join(f"SELECT 'no_null_{c}' AS expectation_name, count(*) - count({c}) AS value, count({c}) < count(*) AS expectation_violated FROM v1" for c in S.V1_COLUMNS)}
+  UNION ALL SELECT 'no_duplicate_customer_id', count(*) - count(DISTINCT customer_id), count(*) > count(DISTINCT customer_id) FROM v1
+  UNION ALL SELECT 'min_row_count', count(*), count(*) < 50000 FROM v1
+  UNION ALL SELECT 'freshness_sla', {_METRIC_SQL["FRESHNESS"].format(c="score_calculated_at")}, {_METRIC_SQL["FRESHNESS"].format(c="score_calculated_at")} > 90000 FROM v1)
+""", "v1")
+def contract_expectations(spark, folder):
+    metrics = contracts.metrics(stored(v1(spark, folder), "v1"), _C1, CHECKS[1])
+    return quality.evaluate(metrics, contracts.expectations(_C1)).select("expectation_name", "value", "expectation_violated")
+
+
 def _test_sql(table: str, tests: dict) -> list[str]:
     parts = []
     for c, listed in tests.items():
@@ -318,7 +343,6 @@ def _suite_sql(contract, source, at, minimum_rows, kinds=None) -> str:
     return f"SELECT target, unnest({_check_sql(contract, at, minimum_rows, kinds)}, recursive := true) FROM {source} GROUP BY target"
 
 
-_C1, _C2 = contracts.bundled(S.V1), contracts.bundled(S.V2)
 _BY = ("target",)
 
 

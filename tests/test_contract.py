@@ -4,6 +4,7 @@ from decimal import Decimal as D
 import pytest
 
 from keelmark import settings as S
+from keelmark.operators import quality
 from keelmark.plans import contract as c
 
 V1, V2 = c.bundled(S.V1), c.bundled(S.V2)
@@ -35,6 +36,32 @@ def test_list_shape_keeps_check_expressions_and_validity():
     assert score.checks == ("churn_risk_score >= 0 AND churn_risk_score <= 100", "churn_risk_score BETWEEN 0 AND 100")
 
 
+def test_what_a_contract_implies():
+    assert V1.unique == V2.unique == ["customer_id"]
+    assert V1.dimensions == ["customer_segment", "region", "transaction_trend", "balance_trend", "risk_tier",
+                             "primary_risk_driver", "recommended_intervention"]
+    implied = {e.name: e.limit for e in c.expectations(V1)}
+    assert len(implied) == 35 and implied["freshness_sla"] == 90000 and implied["min_row_count"] == 50000
+    tests = c.column_tests(V2)
+    assert tests["customer_id"] == ("unique", "not_null") and tests["intervention_priority"] == ("not_null", (1, 2, 3, 4))
+
+
+def test_roles_fall_back_to_access_control():
+    document = {"metadata": {"name": "x", "version": 1}, "spec": {
+        "schema": {"primary_key": "id", "properties": {"id": {"type": "string"}}},
+        "masking_policies": {"M": {"applies_to": "id"}}, "access_control": {"authorized_roles": [{"role": "ANALYST"}, "Clerk"]}}}
+    found = c.from_document(document)
+    assert found.masks[0].roles == {"analyst", "clerk"} and found.unique == ["id"] and found.required == ["id"]
+
+
+def test_contract_column_tests_run(spark):
+    df = spark.createDataFrame([("a", 5), ("a", 1)], "customer_id string, intervention_priority int")
+    tests = {k: v for k, v in c.column_tests(V2).items() if k in df.columns}
+    assert {(r.column_name, r.test): r.failures for r in quality.column_tests(df, "t", tests).collect()} == {
+        ("customer_id", "unique"): 1, ("customer_id", "not_null"): 0, ("intervention_priority", "not_null"): 0,
+        ("intervention_priority", "accepted_values"): 1}
+
+
 def test_thresholds_are_found_in_either_place():
     document = {"metadata": {"name": "x", "version": 1}, "spec": {
         "schema": {"properties": {"id": {"type": "string", "constraints": {"unique": True}}, "at": {"type": "timestamp"}}},
