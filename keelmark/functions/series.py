@@ -18,13 +18,15 @@ def with_previous(df: DataFrame, keys: Sequence[str], time: str, value: str, nam
     split = df.withColumn("_period", F.date_trunc(period, F.col(time)))
     closing = (
         split.groupBy(*keys, "_period").agg(F.max_by(value, time).alias("_closing"))
-        .withColumn("_carried", F.lag("_closing").over(across)).drop("_closing")
+        .withColumn("_carried", F.lag("_closing").over(across))
+        .select("_carried", *[F.col(k).alias(f"_of_{k}") for k in (*keys, "_period")])
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in (*keys, "_period")]  # null keys are a series too
     ranked = split.withColumns({"_inside": F.lag(value).over(inside), "_position": F.row_number().over(inside)})
     previous = F.when(F.col("_position") == 1, F.col("_carried")).otherwise(F.col("_inside"))
     return (
-        ranked.join(closing, [*keys, "_period"], "left")
-        .withColumn(name, previous).drop("_period", "_inside", "_position", "_carried")
+        ranked.join(closing, same, "left")
+        .withColumn(name, previous).select(*df.columns, name)
     )
 
 

@@ -17,10 +17,11 @@ def history(spark, counts, table="t", start=datetime(2024, 1, 30), step=timedelt
 def test_previous_value_equals_lag_across_periods_and_gaps(spark):
     long = history(spark, [i * 7 % 50 for i in range(400)], "big", datetime(2023, 1, 1), timedelta(hours=31))
     gappy = history(spark, [5, None, 7], "gap", datetime(2023, 1, 31), timedelta(days=80))
-    df = long.unionByName(gappy)
+    unnamed = history(spark, [1, 2, 3], None, datetime(2023, 1, 31), timedelta(days=20))
+    df = long.unionByName(gappy).unionByName(unnamed)
     plain = F.lag("value").over(Window.partitionBy("table_name").orderBy("measurement_time"))
     split = series.with_previous(df, ["table_name"], "measurement_time", "value", "previous").select(*df.columns, "previous")
-    key = lambda r: (r[0], r[4])
+    key = lambda r: (r[0] or "", r[4])
     assert sorted((tuple(r) for r in split.collect()), key=key) == sorted((tuple(r) for r in df.withColumn("previous", plain).collect()), key=key)
 
 
