@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 # ---------------------------------------------------------------- fixed values
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-HIDDEN = {"head", "script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video", "select", "datalist", "textarea", "dialog"}
+HIDDEN = {"head", "title", "script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video", "select", "datalist", "textarea", "dialog"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "details", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "nav", "ol", "optgroup", "option", "p", "pre", "section", "summary", "table", "ul"}
 SPACED = {"blockquote", "dl", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "ol", "p", "pre", "table", "ul"}
 #: An opening tag closes the nearest of these, if no barrier stands between.

@@ -17,6 +17,7 @@ from keelmark.llm.common import identified, remainder
 #: At most so many labelled rows train the model, those with the least hashes; the fit needs no more.
 TRAIN_ROWS = 20_000
 PAIRS_EACH = 32
+FEATURES = 16
 CUT = 0.3
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "symbol": b"#*$%&|<>", "shout": b"!?", "stop": b".,;:", "bar": b"|-_=+/\\{}[]()@~^", "space": b" \t\r\x0b\x0c", "line": b"\n"}
 _TABLE = np.zeros(256, np.int64)
@@ -29,7 +30,7 @@ def features(text: str | None) -> np.ndarray:
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
     if not words:
-        return np.r_[np.zeros(15), 1.0]
+        return np.r_[np.zeros(FEATURES - 1), 1.0]
     n, size = len(words), len(data)
     shares = np.bincount(_TABLE[np.frombuffer(data, np.uint8)], minlength=9)[1:] / size
     lengths = np.fromiter(map(len, words), np.int64, n)
@@ -42,7 +43,7 @@ def features(text: str | None) -> np.ndarray:
 def fitted(rows: np.ndarray, labels: np.ndarray, pairs_each: int = PAIRS_EACH, penalty: float = 1e-3, seed: int = 11) -> dict:
     """Weights, the cut on the raw score and its spread. Without both labels, every document gets one score over the cut."""
     good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
-    mean, scale = (rows.mean(axis=0), rows.std(axis=0) + 1e-6) if len(rows) else (np.zeros(16), np.ones(16))
+    mean, scale = (rows.mean(axis=0), rows.std(axis=0) + 1e-6) if len(rows) else (np.zeros(FEATURES), np.ones(FEATURES))
     if not len(good) or not len(bad):
         return {"mean": mean, "scale": scale, "w": np.zeros(len(mean)), "cut": -1.0, "spread": 1.0}
     x = (rows - mean) / scale
@@ -91,7 +92,7 @@ def trained(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, by
     narrow = identified(docs)
     rows = narrow.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("text", "labelled", "quality")
     got = sorted(_featured(rows, ["labelled", "quality"]).limit(2 * train_rows).collect(), key=lambda r: (r["labelled"], r["quality"], r["x"]))
-    x = np.array([r["x"] for r in got]).reshape(len(got), -1)
+    x = np.array([r["x"] for r in got]).reshape(len(got), FEATURES)
     return fitted(x, np.array([r["quality"] for r in got]))
 
 
@@ -108,7 +109,7 @@ def scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, by:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([features(t.as_py()) for t in batch.column("text")]).reshape(len(batch), -1)
+            x = np.array([features(t.as_py()) for t in batch.column("text")]).reshape(len(batch), FEATURES)
             s = scored_rows(x, model) if len(batch) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= CUT).astype(np.int32))],
                                              names=["doc_id", "held_out", "score", "predicted"])

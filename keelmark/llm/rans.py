@@ -96,7 +96,10 @@ class Coder:
                     state[low] = (state[low] << _U(32)) | stream[place: place + need].astype(_U)
                     place += need
                 x[: len(state)] = state
-            if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+            after = np.full(lanes, 1 << LOW, _U)
+            if point + 1 < points:
+                after = np.frombuffer(block, "<u8", lanes, first + (point + 1) * entry + 8)
+            if zlib.crc32(ids.astype("<u4").tobytes()) != crc or (x != after).any():
                 raise ValueError(f"checksum of segment {point} fails")
             out.append(ids)
         return np.concatenate(out) if out else np.zeros(0, np.uint32)

@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and of ordinary writing.
 
-Both models are first-order over 64 characters. They are trained from labelled samples of the corpus itself: the values
-of the base patterns are the random strings, all other text the ordinary one. A candidate is secret where the
+Both models are first-order over the letters, digits and a few signs. They are trained from labelled samples of the corpus
+itself: the values of the base patterns are the random strings, all text outside base spans and candidates is ordinary. A candidate is secret where the
 log-likelihood ratio per character is above a threshold.
 """
 
@@ -54,44 +54,57 @@ def secret_value(text: str, span: Span) -> str:
     return (ASSIGN.match(matched) or [None, None, matched])[2] if span[0] == "assign" else matched
 
 
+def model(counts: np.ndarray, weight: float = 20.0) -> np.ndarray:
+    """Log probabilities of each transition; a row leans on the frequencies of single characters by ``weight`` counts."""
+    table = counts.reshape(_SIDE, _SIDE).astype(np.float64)
+    single = (table.sum(axis=0) + 1) / (table.sum() + _SIDE)
+    return np.log((table + weight * single) / (table.sum(axis=1, keepdims=True) + weight))
+
+
 def ratios(secret: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratio of each transition; both models start from one count for each."""
-    rows = [np.log((c.reshape(_SIDE, _SIDE) + 1.0) / (c.reshape(_SIDE, _SIDE) + 1.0).sum(axis=1, keepdims=True)) for c in (secret, ordinary)]
-    return rows[0] - rows[1]
+    """Log-likelihood ratio of each transition."""
+    return model(secret) - model(ordinary)
 
 
 def trained(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     """Ratios from counts over all texts. Tasks add up their counts; the driver gets two tables of fixed size."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        secret, everything = np.zeros(_SIDE * _SIDE, np.int64), np.zeros(_SIDE * _SIDE, np.int64)
+        secret, everything, labelled_or_open = (np.zeros(_SIDE * _SIDE, np.int64) for _ in range(3))
         for batch in batches:
             for value in batch.column(0):
                 text = value.as_py() or ""
                 everything += transitions(text)
-                for span in base_spans(text):
-                    secret += transitions(secret_value(text, span))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SIDE * _SIDE)), pa.array(secret), pa.array(everything)], names=["at", "secret", "everything"])
-
-    rows = docs.select(docs[text_column].cast("string")).mapInArrow(counted, "at bigint, secret bigint, everything bigint").groupBy("at").agg(
-        F.sum("secret").alias("secret"), F.sum("everything").alias("everything")).collect()
-    secret, everything = np.zeros(_SIDE * _SIDE, np.int64), np.zeros(_SIDE * _SIDE, np.int64)
+                base = base_spans(text)
+                for span in base:
+                    value = transitions(secret_value(text, span))
+                    secret += value
+                    labelled_or_open += value
+                for begin, end in candidates(text, base):
+                    labelled_or_open += transitions(text[begin:end])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SIDE * _SIDE)), pa.array(secret), pa.array(everything - labelled_or_open)], names=["at", "secret", "ordinary"])
+
+    rows = docs.select(docs[text_column].cast("string")).mapInArrow(counted, "at bigint, secret bigint, ordinary bigint").groupBy("at").agg(
+        F.sum("secret").alias("secret"), F.sum("ordinary").alias("ordinary")).collect()
+    secret, ordinary = np.zeros(_SIDE * _SIDE, np.int64), np.zeros(_SIDE * _SIDE, np.int64)
     for r in rows:
-        secret[r["at"]], everything[r["at"]] = r["secret"], r["everything"]
-    return ratios(secret, np.maximum(everything - secret, 0))
+        secret[r["at"]], ordinary[r["at"]] = r["secret"], max(0, r["ordinary"])  # base spans of two kinds may overlap
+    return ratios(secret, ordinary)
+
+
+def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """Strings of 20 characters or more, with a digit and a letter, that no base span touches."""
+    for m in CANDIDATE.finditer(text):
+        if re.search(r"[0-9]", m[0]) and re.search(r"[A-Za-z]", m[0]) and not any(s < m.end() and m.start() < e for _, s, e in base):
+            yield m.span()
 
 
 def model_spans(text: str, base: list[Span], table: np.ndarray, threshold: float = THRESHOLD) -> list[Span]:
-    """Candidates of 20 characters or more, with a digit and a letter, that no base span touches and that look random."""
+    """Candidates that look more like random strings than like ordinary writing."""
     found = []
-    for m in CANDIDATE.finditer(text):
-        value = m[0]
-        if not re.search(r"[0-9]", value) or not re.search(r"[A-Za-z]", value):
-            continue
-        if any(s < m.end() and m.start() < e for _, s, e in base):
-            continue
-        kinds = _CLASS[np.frombuffer(value.encode(), np.uint8)]
+    for begin, end in candidates(text, base):
+        kinds = _CLASS[np.frombuffer(text[begin:end].encode(), np.uint8)]
         if table[kinds[:-1], kinds[1:]].mean() > threshold:
-            found.append(("random", m.start(), m.end()))
+            found.append(("random", begin, end))
     return found
 
 
