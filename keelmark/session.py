@@ -27,12 +27,12 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
     Shuffles start with partitions of about 128 MB and are merged at run time where
     less arrives; partitions far above the median are split in joins.
     """
-    partitions = max(200, input_bytes // (128 * 1024**2))
+    partitions = 1 + input_bytes // (128 * 1024**2)
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "256m",
     }
