@@ -81,8 +81,8 @@ class Contract:
 
 
 def _number(text) -> int | None:
-    digits = re.search(r"\d+", str(text or ""))
-    return int(digits.group()) if digits else None
+    digits = re.search(r"\d[\d,]*", str(text or ""))
+    return int(digits.group().replace(",", "")) if digits else None
 
 
 def _role_names(roles) -> frozenset[str]:
@@ -249,7 +249,7 @@ def evaluate(df: DataFrame, checks: list[Check], by: tuple[str, ...] = ()) -> Da
     measured = df.groupBy(*by).agg(*[c.measured(f"m{i}") for i, c in enumerate(checks)])
     limited = [(c, f"m{i}", f"CAST({c.limit} AS {VALUE})") for i, c in enumerate(checks)]
     rows = [
-        (text(c.rule), text(c.column), text(c.severity), value, limit, f"{value} {'<' if c.at_least else '>'} {limit}")
+        (text(c.rule), text(c.column), text(c.severity), value, limit, f"coalesce({value} {'<' if c.at_least else '>'} {limit}, true)")
         for c, value, limit in limited
     ]
     return to_rows(measured, rows, ("rule", "column_name", "severity", "value", "limit_value", "violated"), by)

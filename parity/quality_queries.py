@@ -301,6 +301,15 @@ def referential_integrity(spark, folder):
 
 
 # ------------------------------------------------------------- contract checks
+#: Business rules of the second contract, as it declares them; open at both ends.
+_V2_BROKEN = {
+    "risk_tier_score_alignment": "CASE WHEN churn_risk_score <= 25 THEN risk_tier <> 'LOW' WHEN churn_risk_score <= 50 THEN risk_tier <> 'MEDIUM' "
+                                 "WHEN churn_risk_score <= 75 THEN risk_tier <> 'HIGH' ELSE risk_tier <> 'CRITICAL' END",
+    "clv_tier_alignment": "clv_tier <> CASE WHEN estimated_clv >= 100000 THEN 'HIGH_VALUE' WHEN estimated_clv >= 25000 THEN 'MEDIUM_VALUE' ELSE 'STANDARD' END",
+    "product_downgrade_consistency": "product_downgrade_flag <> (total_products_held < products_held_90d_ago)",
+}
+
+
 def _check_sql(contract, at, minimum_rows, kinds=None) -> str:
     """The checks of a contract, spelled out from its fields for the SQL engine."""
     rows = []
@@ -309,7 +318,7 @@ def _check_sql(contract, at, minimum_rows, kinds=None) -> str:
         if kinds is None or rule in kinds:
             measured, bound = f"CAST({value} AS DECIMAL(18,2))", f"CAST({limit} AS DECIMAL(18,2))"
             rows.append(f"{{'rule': '{rule}', 'column_name': '{column}', 'severity': '{severity}', 'value': {measured}, "
-                        f"'limit_value': {bound}, 'violated': {measured} {comparison} {bound}}}")
+                        f"'limit_value': {bound}, 'violated': coalesce({measured} {comparison} {bound}, true)}}")
 
     counted = lambda broken: f"count(*) FILTER ({broken})"
     listed = lambda values: "(" + ", ".join(repr(v) for v in values) + ")"
@@ -331,8 +340,7 @@ def _check_sql(contract, at, minimum_rows, kinds=None) -> str:
     for name, percent in contract.completeness.items():
         add("completeness", name, share_sql(f"count({name})", "count(*)", 2, 100), percent, "<")
     for rule in contract.business_rules:
-        key = rule.get("rule_id") or "DOWNGRADE"
-        add("business_rule", rule.get("rule_id") or rule["name"], counted(BROKEN_SQL[key]), 0, severity=rule.get("severity", "error"))
+        add("business_rule", rule.get("rule_id") or rule["name"], counted(BROKEN_SQL[rule["rule_id"]] if "rule_id" in rule else _V2_BROKEN[rule["name"]]), 0, severity=rule.get("severity", "error"))
     stamp = contract.freshness_column
     add("freshness_seconds", stamp, f"(epoch_us(TIMESTAMP '{at}') - epoch_us(max({stamp}))) // 1000000", contract.fail_hours * 3600)
     add("row_count", "*", "count(*)", minimum_rows, "<")
