@@ -110,11 +110,16 @@ def distinct_monthly_average(accounts: DataFrame, transactions: DataFrame, as_of
     return owners.select("customer_id").distinct().join(counted, "customer_id", "left").select("customer_id", average)
 
 
-def latest_engagement(engagement: DataFrame) -> DataFrame:
-    """The newest measurement per customer (ties by id), as one aggregate rather than a sort per customer."""
+def latest_engagement(engagement: DataFrame, as_of: date) -> DataFrame:
+    """The newest measurement per customer up to the date, as one hash aggregate.
+
+    Where a customer has several on one date, a hash of their ids decides. Date and hash share one long, as wider
+    orderings or payloads would leave hash aggregation.
+    """
     payload = ["measurement_date", "login_count_30d", "mobile_app_active", "online_banking_active", "features_used_count"]
-    newest = F.max_by(F.struct(*payload), F.struct("measurement_date", "engagement_id"))
-    return engagement.groupBy("customer_id").agg(newest.alias("newest")).select("customer_id", "newest.*")
+    dated = engagement.filter(F.col("measurement_date") <= day(as_of))
+    place = F.unix_date("measurement_date") * F.lit(1 << 32) + F.pmod(F.xxhash64("engagement_id"), F.lit(1 << 32))
+    return dated.withColumn("_place", place).groupBy("customer_id").agg(*(F.max_by(c, "_place").alias(c) for c in payload))
 
 
 def complaint_metrics(complaints: DataFrame, as_of: date) -> DataFrame:
@@ -162,7 +167,7 @@ def customer_features(sources: Sources, as_of: date) -> DataFrame:
     joined = (
         verified(sources.customers)
         .join(relationship_metrics(sources.accounts, sources.transactions, as_of), "customer_id", "left")
-        .join(latest_engagement(sources.digital_engagement), "customer_id", "left")
+        .join(latest_engagement(sources.digital_engagement, as_of), "customer_id", "left")
         .join(complaint_metrics(sources.complaints, as_of), "customer_id", "left")
     )
     filled = joined.select(

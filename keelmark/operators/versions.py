@@ -9,13 +9,25 @@ from keelmark.functions.columns import text, to_rows
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str, version: str = "score_calculated_at") -> DataFrame:
-    """Keep the newest row per key; on equal versions the incoming row wins.
+    """Keep the newest row per key; on equal versions the incoming row wins, and a null version is the oldest.
 
-    The rank filter is applied map-side first, so repeated keys shrink before the shuffle.
+    ``current`` has one row per key. Only the incoming rows are ranked; the current ones pass through an anti-join
+    against the incoming keys. ``incoming`` is read twice, so one that is costly to compute should be stored first.
     """
-    both = current.withColumn("_incoming", F.lit(0)).unionByName(incoming.withColumn("_incoming", F.lit(1)))
-    newest = Window.partitionBy(key).orderBy(F.desc(version), F.desc("_incoming"))
-    return both.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank", "_incoming")
+    newest = Window.partitionBy(key).orderBy(F.desc(version))
+    latest = incoming.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    held = current.select(F.col(key).alias("_key"), F.col(version).alias("_version"))
+    newer = (F.col("_version") > F.col(version)) | (F.col(version).isNull() & F.col("_version").isNotNull())
+    fresh = latest.join(held, F.col(key).eqNullSafe(F.col("_key")) & newer, "left_anti")
+    replaced = fresh.select(F.col(key).alias("_key"))
+    return current.join(replaced, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(fresh)
+
+
+def changed_rows(later: DataFrame, current: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``later`` whose key is new, or that differ from ``current`` in any of ``columns`` (nulls are equal)."""
+    held = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("_held"))
+    joined = later.join(held, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.filter(~F.struct(*columns).eqNullSafe(F.col("_held"))).select(*later.columns)
 
 
 def incremental_refresh(previous: str, incoming: DataFrame, key: str, target: str, version: str = "score_calculated_at") -> DataFrame:

@@ -9,7 +9,7 @@ from keelmark.operators import features, scoring, versions
 from keelmark.plans import product
 from keelmark.session import run_dir
 from keelmark.sources import banking
-from keelmark.sources.tables import snapshot_once
+from keelmark.sources.tables import snapshot_once, stored
 import parity.source_queries  # noqa: F401  (declares the source views)
 from parity.registry import query, view
 
@@ -36,10 +36,10 @@ FROM accounts LEFT JOIN (
 ) USING (account_id)
 WHERE account_status = 'ACTIVE' GROUP BY customer_id
 """, "accounts", "transactions")
-    view("latest_engagement", """
+    view(f"latest_engagement{suffix}", f"""
 SELECT customer_id, measurement_date, login_count_30d, mobile_app_active, online_banking_active, features_used_count
 FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY measurement_date DESC, engagement_id DESC) AS rn
-      FROM digital_engagement) WHERE rn = 1
+      FROM digital_engagement WHERE measurement_date <= {d}) WHERE rn = 1
 """, "digital_engagement")
     view(f"complaint_metrics{suffix}", f"""
 SELECT customer_id, CAST(sum(if(status = 'OPEN', 1, 0)) AS INTEGER) AS open_complaints_count,
@@ -73,11 +73,11 @@ FROM (
   FROM customers c
   LEFT JOIN account_metrics{suffix} USING (customer_id)
   LEFT JOIN transaction_metrics{suffix} USING (customer_id)
-  LEFT JOIN latest_engagement USING (customer_id)
+  LEFT JOIN latest_engagement{suffix} USING (customer_id)
   LEFT JOIN complaint_metrics{suffix} USING (customer_id)
   WHERE kyc_status = 'VERIFIED'
 )
-""", "customers", f"account_metrics{suffix}", f"transaction_metrics{suffix}", "latest_engagement", f"complaint_metrics{suffix}")
+""", "customers", f"account_metrics{suffix}", f"transaction_metrics{suffix}", f"latest_engagement{suffix}", f"complaint_metrics{suffix}")
     view(f"flagged{suffix}", f"""
 SELECT *, open_complaints_count > 0 AS has_unresolved_complaint,
   total_relationship_balance < 500 OR primary_account_balance < 100 AS declining_balance_flag,
@@ -210,7 +210,7 @@ def avg_monthly_txn_distinct(spark, folder):
 
 @query("latest_engagement", "SELECT * FROM latest_engagement", "latest_engagement")
 def latest_engagement(spark, folder):
-    return features.latest_engagement(banking.digital_engagement(spark, folder))
+    return features.latest_engagement(banking.digital_engagement(spark, folder), S.AS_OF)
 
 
 @query("engagement_score", """
@@ -221,7 +221,7 @@ SELECT customer_id, login_count_30d, 2 * login_count_30d + if(mobile_app_active,
 FROM latest_engagement
 """, "latest_engagement")
 def engagement_score(spark, folder):
-    newest = features.latest_engagement(banking.digital_engagement(spark, folder))
+    newest = features.latest_engagement(banking.digital_engagement(spark, folder), S.AS_OF)
     scored = newest.withColumn("engagement_points", features.engagement_points())
     return scored.select("customer_id", "login_count_30d", "engagement_points",
                          F.least(F.lit(S.SCORE_MAX), "engagement_points").alias("digital_engagement_score"))
@@ -360,14 +360,25 @@ def balance_trend_90d(spark, folder):
 
 
 # ------------------------------------------------------------------ evolution
-@query("incremental_upsert", """
-SELECT * FROM v1 WHERE days_since_last_transaction <= 31
-UNION ALL SELECT * FROM v1_earlier WHERE customer_id NOT IN (SELECT customer_id FROM v1 WHERE days_since_last_transaction <= 31)
+COMPARED = [c for c in S.V1_COLUMNS if c not in ("customer_id", "score_calculated_at", "model_version")]
+
+
+def _differs(new: str, old: str) -> str:
+    return " OR ".join(f"{new}.{c} IS DISTINCT FROM {old}.{c}" for c in COMPARED)
+
+
+@query("incremental_upsert", f"""
+SELECT n.* FROM v1 n LEFT JOIN v1_earlier o ON n.customer_id = o.customer_id
+WHERE o.customer_id IS NULL OR {_differs("n", "o")}
+UNION ALL
+SELECT o.* FROM v1_earlier o LEFT JOIN v1 n ON n.customer_id = o.customer_id
+WHERE n.customer_id IS NULL OR NOT ({_differs("n", "o")})
 """, "v1", "v1_earlier")
 def incremental_upsert(spark, folder):
-    """Last month's product refreshed with the customers who moved since."""
-    changed = v1(spark, folder).filter(F.col("days_since_last_transaction") <= 31)
-    return versions.upsert(v1_earlier(spark, folder), changed, "customer_id")
+    """Last month's stored product refreshed with every customer of whom anything changed since."""
+    current = stored(v1_earlier(spark, folder), "earlier-product")
+    changed = stored(versions.changed_rows(v1(spark, folder), current, "customer_id", COMPARED), "changed-customers")
+    return versions.upsert(current, changed, "customer_id")
 
 
 SNAPSHOT = (S.V1, S.SCORED_AT, "before version 2.0.0")
@@ -396,9 +407,6 @@ def version_compare(spark, folder):
         versions.version_summary(v2(spark, folder), "v2.0 (Current)", "score_calculated_at"))
 
 
-COMPARED = [c for c in S.V1_COLUMNS if c not in ("customer_id", "score_calculated_at", "model_version")]
-
-
 @query("backward_compat_diff", "SELECT 'missing rows' AS check_type, 'customer_id' AS column_name, count(*) FILTER (b.customer_id IS NULL) AS row_count "
        "FROM v1 a FULL JOIN v2 b USING (customer_id) UNION ALL "
        "SELECT 'added rows', 'customer_id', count(*) FILTER (a.customer_id IS NULL) FROM v1 a FULL JOIN v2 b USING (customer_id) UNION ALL "

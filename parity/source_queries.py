@@ -43,7 +43,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 view("digital_engagement", """
 SELECT concat_ws('-', customer_id, measurement_date) AS engagement_id, *
 FROM (
-  SELECT user_id * 10 + event_id % 10 AS customer_id, CAST(date_trunc('week', ts) AS DATE) AS measurement_date,
+  SELECT user_id * 10 + event_id % 10 AS customer_id, CAST(date_trunc('week', ts) AS DATE) - 8176 AS measurement_date,
          CAST(sum(floor(value / 10)) AS INTEGER) AS login_count_30d,
          count(*) FILTER (event_type = 'click') > 0 AS mobile_app_active,
          count(*) FILTER (event_type = 'signup') > 0 AS online_banking_active,

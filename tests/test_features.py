@@ -61,11 +61,13 @@ def test_one_pass_metrics_count_repeated_account_rows_like_the_separate_ones(spa
     assert rows(features.relationship_metrics(a, m, AS_OF).select(apart.columns)) == rows(apart)
 
 
-def test_latest_engagement_breaks_ties_by_id(spark):
-    got = features.latest_engagement(spark.createDataFrame([
-        ("a", 1, date(2024, 1, 1), 9, True, True, 1), ("b", 1, date(2024, 2, 1), 1, False, None, 2),
-        ("c", 1, date(2024, 2, 1), 2, None, True, 3)], ENGAGEMENT))
-    assert rows(got) == [(1, date(2024, 2, 1), 2, None, True, 3)]
+def test_latest_engagement_is_one_whole_row_up_to_the_date(spark):
+    days = [("a", 1, date(2024, 1, 1), 9, True, True, 1), ("b", 1, date(2024, 2, 1), 1, False, None, 2),
+            ("c", 1, date(2024, 2, 1), 2, None, True, 3), ("d", 1, date(2024, 2, 2), 7, True, True, 7)]
+    newest = lambda listed: rows(features.latest_engagement(spark.createDataFrame(listed, ENGAGEMENT), date(2024, 2, 1)))
+    assert newest(days) == newest(days[::-1])
+    assert newest(days)[0] in [(1, date(2024, 2, 1), 1, False, None, 2), (1, date(2024, 2, 1), 2, None, True, 3)]
+    assert newest(days[3:]) == []
 
 
 def test_complaints_outside_the_year_do_not_count(spark):

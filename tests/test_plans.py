@@ -1,9 +1,14 @@
 """What the physical plans must and must not contain."""
 
+import itertools
 import re
+from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from keelmark.operators import features, versions
+from keelmark.sources import banking
 from parity import QUERIES
 
 NO_PLAN = {"stream_metrics", "version_snapshot"}
@@ -47,4 +52,21 @@ def test_account_aggregate_reuses_the_join_partitioning(spark, folder):
 
 def test_newest_rows_are_limited_before_the_shuffle(spark, folder):
     assert "WindowGroupLimit" in plan(QUERIES["freshness_history"](spark, folder))
-    assert "WindowGroupLimit" in plan(QUERIES["incremental_upsert"](spark, folder))
+
+
+def test_refresh_does_not_rank_the_current_table(spark):
+    stamp, value = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("score_calculated_at"), F.lit("x").alias("v")
+    current = spark.range(9).select(F.col("id").alias("k"), stamp, value)
+    incoming = spark.createDataFrame([(1, datetime(2024, 1, 2), "y")], "k bigint, score_calculated_at timestamp_ntz, v string")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = plan(versions.upsert(current, incoming, "k")).splitlines()
+    windows = [i for i, line in enumerate(lines) if line.lstrip(" :+-").startswith("Window [")]
+    assert windows and any("Range (" in line for line in lines)
+    for i in windows:
+        below = itertools.takewhile(lambda line: depth(line) > depth(lines[i]), lines[i + 1:])
+        assert not any("Range (" in line for line in below)
+
+
+def test_latest_engagement_stays_in_hash_aggregation(spark, folder):
+    text = plan(features.latest_engagement(banking.digital_engagement(spark, folder), date(2001, 9, 1)))
+    assert "SortAggregate" not in text
