@@ -61,6 +61,30 @@ QUERIES = {f.__name__: f for f in (
     op8_lm_scores, op9_quality_scores, op10_mix)}
 
 SQL = {
+    "op5_quality_ledger": """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS place FROM texts),
+windows AS (SELECT doc_id, place, array_to_string(words[place:place + 4], ' ') AS five FROM places),
+counted AS (SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, five) AS times FROM windows),
+gaps AS (
+  SELECT doc_id, least(5, coalesce(lead(place) OVER (PARTITION BY doc_id ORDER BY place) - place, 5)) AS covered
+  FROM counted WHERE times >= 2),
+repeats AS (SELECT doc_id, sum(covered)::BIGINT AS n FROM gaps GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(lines)::BIGINT AS n_lines, length(regexp_replace(body, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals
+  FROM texts LEFT JOIN repeats USING (doc_id)),
+failed AS (
+  SELECT *, ((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+    + 8 * (100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+    + 32 * (word_chars > 25 * n_words)::INT + 64 * (2 * n_capitals > word_chars)::INT)::BIGINT AS failures
+  FROM measured)
+SELECT *, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM failed""",
     "op7_shards": """
 WITH hashed AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
