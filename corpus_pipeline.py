@@ -19,9 +19,16 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, the one with the smallest id; one row where rows share that id."""
-    chosen = simhash.near_duplicates(docs).select(F.col("component_id").alias("chosen")).distinct()
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("chosen")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each SimHash group, the one with the smallest id; a null id is chosen only where no other is there.
+
+    Rows are told apart by id and text, so rows that share an id, null included, stay if they are in different groups.
+    """
+    key = F.struct(docs["doc_id"].isNull().alias("absent"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("hash"))
+    name = "_".join([*docs.columns, "key"])  # longer than any column's name
+    members = simhash.near_duplicates(docs.select(key.alias("key"), docs["text"].alias("text")), id_column="key")
+    chosen = members.select(F.col("component_id").alias("chosen")).distinct()
+    keyed = docs.withColumn(name, key)
+    return keyed.join(chosen, keyed[name] == F.col("chosen"), "left_semi").dropDuplicates([name]).select(docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

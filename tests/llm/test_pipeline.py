@@ -23,3 +23,10 @@ def test_stages(spark, folder, tmp_path):
     assert ids(after[2]) == [i for i in ids(seen[2]) if i not in leaked]
     assert ids(after[3]) == sorted(r["doc_id"] for r in mixing.mixed(seen[3]).collect() for _ in range(r["copies"]))
     assert ids(after[4]) == ids(after[3])
+
+
+def test_rows_without_an_id_are_not_one_group(spark, folder):
+    far, near = "lorem ipsum dolor sit amet consectetur", "one two three four five six seven eight"
+    rows = [(None, far), (None, far), (None, near), (7, near), (3, near), (5, None), (4, "")]
+    got = corpus_pipeline.single(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), folder).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(3, near), (4, ""), (None, far)], key=str)
