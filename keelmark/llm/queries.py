@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelmark.llm import decontamination, html, ledger, mixing, ngrams, ranking, secrets, sharding, simhash, tokens
+from keelmark.llm import bpe, decontamination, html, kmeans, ledger, mixing, ngrams, ranking, search, secrets, sharding, simhash, tokens
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,11 +56,77 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.top_documents(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return kmeans.clusters(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encoded(documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_decontamination, op3_token_files, op4_secret_scan, op5_quality_ledger, op6_simhash, op7_shards,
-    op8_lm_scores, op9_quality_scores, op10_mix)}
+    op8_lm_scores, op9_quality_scores, op10_mix, op11_lexical_search, op12_kmeans, op13_bpe_codec)}
+
+
+def _kmeans_sql(k: int = kmeans.K, rounds: int = kmeans.ROUNDS, seed: int = kmeans.SEED, dim: int = kmeans.DIM) -> str:
+    """k-means unrolled: one assignment and one move per round, in long form (vector, component)."""
+    parts = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+comps AS (SELECT rid, i, v[i] AS x FROM kept, range(1, {dim + 1}) t(i)),
+firsts AS (
+  SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::INT AS c, v
+  FROM kept ORDER BY c LIMIT {k}),
+c0 AS (SELECT c, i, v[i] AS y FROM firsts, range(1, {dim + 1}) t(i))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+d{r} AS (SELECT x.rid, y.c, sum((x.x - y.y) * (x.x - y.y)) AS dist FROM comps x JOIN c{r} y USING (i) GROUP BY x.rid, y.c),
+a{r} AS (SELECT rid, arg_min(c, dist * 1000 + c) AS c, min(dist)::BIGINT AS distance FROM d{r} GROUP BY rid)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (SELECT a.c, x.i, sum(x.x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM comps x JOIN a{r} a USING (rid) GROUP BY a.c, x.i),
+c{r + 1} AS (
+  SELECT o.c, o.i, coalesce(((s.s - ((s.s % s.n) + s.n) % s.n) // s.n)::BIGINT, o.y) AS y
+  FROM c{r} o LEFT JOIN s{r} s ON o.c = s.c AND o.i = s.i)""")
+    parts.append(f""",
+digests AS (SELECT c, sha256(array_to_string(list(y ORDER BY i), ',')) AS centroid_sha256 FROM c{rounds} GROUP BY c),
+final AS (SELECT kept.vec_id, a.c AS cluster, a.distance FROM a{rounds} a JOIN kept USING (rid))
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM final JOIN digests ON cluster = digests.c""")
+    return ",".join(parts).replace(",,", ",").replace("),\n,", "),")
+
+_TERMS = "regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 SQL = {
+    "op11_lexical_search": f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format('text')} AS terms FROM documents),
+stats AS (SELECT count(*) FILTER (WHERE len(terms) > 0)::BIGINT AS big_n, coalesce(sum(len(terms)), 0)::BIGINT AS big_l FROM docs),
+occ AS (SELECT rid, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs),
+tf AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf FROM occ GROUP BY ALL),
+items AS (SELECT DISTINCT item_id, text FROM benchmark),
+qterms AS (SELECT item_id, text, unnest({_TERMS.format('text')}) AS term FROM items),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf WHERE term IN (SELECT term FROM qterms) GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, stats),
+scored AS (
+  SELECT q.item_id, q.text, t.doc_id, t.rid,
+    sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (25 + (75 * t.n * big_n) // big_l))))::BIGINT AS score
+  FROM qterms q JOIN tf t USING (term) JOIN w USING (term), stats
+  GROUP BY q.item_id, q.text, t.doc_id, t.rid),
+ranked AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST))::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op12_kmeans": _kmeans_sql(),
     "op5_quality_ledger": """
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
