@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelmark.functions.columns import text, to_rows
+from keelmark.session import run_dir
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str, version: str = "score_calculated_at") -> DataFrame:
@@ -40,6 +41,43 @@ def incremental_refresh(previous: str, incoming: DataFrame, key: str, target: st
     return incoming.sparkSession.read.parquet(target)
 
 
+BUCKET = "key_bucket"
+
+
+def key_bucket(key: str, buckets: int):
+    """Bucket of a key: a hash modulo the bucket count; a null key has its own fixed bucket."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Store a keyed table partitioned by key bucket, one folder per bucket, ready for keyed refreshes."""
+    df.withColumn(BUCKET, key_bucket(key, buckets)).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def refresh_buckets(path: str, incoming: DataFrame, key: str, buckets: int, version: str = "score_calculated_at") -> list[int]:
+    """Keyed refresh in place: only the buckets that incoming keys fall into are rewritten.
+
+    The touched buckets of the stored table are read (partition pruning on the bucket folder),
+    merged with the incoming rows by :func:`upsert`, staged in a new folder, and then written
+    back with dynamic partition overwrite, which replaces exactly the bucket folders present in
+    the output. Files of untouched buckets are not opened, moved or renamed. A failure before the
+    last write leaves the table as it was; a failure during it is mended by repeating the last
+    write from the staged copy. Returns the touched bucket numbers (at most ``buckets`` values).
+    """
+    spark = incoming.sparkSession
+    fresh = incoming.withColumn(BUCKET, key_bucket(key, buckets))
+    touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
+    if not touched:
+        return []
+    current = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+    merged = upsert(current.drop(BUCKET), fresh.drop(BUCKET), key, version).withColumn(BUCKET, key_bucket(key, buckets))
+    staging = run_dir(spark, "refresh-stage")
+    merged.repartition(BUCKET).write.partitionBy(BUCKET).parquet(staging)
+    (spark.read.parquet(staging).repartition(BUCKET).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+    return touched
+
+
 def version_summary(df: DataFrame, label: str, stamp: str) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), F.max(stamp).alias("as_of")).select(
         F.lit(label).alias("version"), "row_count", F.lit(len(df.columns)).alias("column_count"), "as_of")

@@ -360,6 +360,8 @@ def balance_trend_90d(spark, folder):
 
 
 # ------------------------------------------------------------------ evolution
+#: Buckets of the stored product: a refresh rewrites only those its changed keys fall into.
+PRODUCT_BUCKETS = 64
 COMPARED = [c for c in S.V1_COLUMNS if c not in ("customer_id", "score_calculated_at", "model_version")]
 
 
@@ -375,10 +377,16 @@ SELECT o.* FROM v1_earlier o LEFT JOIN v1 n ON n.customer_id = o.customer_id
 WHERE n.customer_id IS NULL OR NOT ({_differs("n", "o")})
 """, "v1", "v1_earlier")
 def incremental_upsert(spark, folder):
-    """Last month's stored product refreshed with every customer of whom anything changed since."""
-    current = stored(v1_earlier(spark, folder), "earlier-product")
+    """Last month's stored product refreshed in place with every customer of whom anything changed since.
+
+    The product is stored partitioned by key bucket; only buckets holding a changed customer are rewritten.
+    """
+    path = run_dir(spark, "product")
+    versions.write_bucketed(v1_earlier(spark, folder), path, "customer_id", PRODUCT_BUCKETS)
+    current = spark.read.parquet(path).drop(versions.BUCKET)
     changed = stored(versions.changed_rows(v1(spark, folder), current, "customer_id", COMPARED), "changed-customers")
-    return versions.upsert(current, changed, "customer_id")
+    versions.refresh_buckets(path, changed, "customer_id", PRODUCT_BUCKETS)
+    return spark.read.parquet(path).drop(versions.BUCKET)
 
 
 SNAPSHOT = (S.V1, S.SCORED_AT, "before version 2.0.0")

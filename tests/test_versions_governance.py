@@ -28,6 +28,31 @@ def test_incremental_refresh_leaves_the_previous_table_alone(spark, tmp_path):
     assert spark.read.parquet(first).count() == 2
 
 
+def test_bucket_refresh_rewrites_only_touched_buckets(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "product")
+    frame = lambda *rows: spark.createDataFrame(rows, "k int, score_calculated_at timestamp_ntz, v string")
+    old = frame(*[(k, datetime(2024, 1, 1), "x") for k in range(40)], (None, datetime(2024, 1, 1), "n"))
+    versions.write_bucketed(old, path, "k", 8)
+
+    def files():
+        return {(d, f): os.stat(os.path.join(path, d, f)).st_mtime_ns
+                for d in os.listdir(path) if d.startswith(versions.BUCKET) for f in os.listdir(os.path.join(path, d))}
+
+    before = files()
+    incoming = frame((3, datetime(2024, 1, 2), "y"), (3, datetime(2024, 1, 3), "z"), (100, datetime(2024, 1, 2), "new"),
+                     (5, datetime(2023, 1, 1), "older"), (None, datetime(2024, 1, 2), "m"))
+    touched = versions.refresh_buckets(path, incoming, "k", 8)
+    after = files()
+    untouched = {(d, f): t for (d, f), t in before.items() if int(d.split("=")[1]) not in touched}
+    assert untouched and all(after.get(name) == t for name, t in untouched.items())  # same names, never rewritten
+    assert len(touched) < 8
+    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    expected = {k: "x" for k in range(40)} | {3: "z", 100: "new", None: "m"}
+    assert got == expected and spark.read.parquet(path).count() == 42
+
+
 def test_column_differences(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "k int, x string, y int")
     new = spark.createDataFrame([(1, "a", None), (2, "B", None), (4, "d", 1)], "k int, x string, y int")
