@@ -15,8 +15,10 @@ term vectors restricted to the block's vocabulary and builds a trie in which doc
 paths of (term, tf) nodes, terms ordered by descending df so that frequent terms share the
 upper paths. Every node keeps the maximal tf and the minimal m below it and the set of terms
 below it. For each item a depth-first branch and bound walks the trie: a subtree whose bound
-(path terms exactly, terms below at the subtree's tf maximum, all at its m minimum) is under
-the item's current k-th score is skipped. Local top-k lists are merged by a window per item;
+(path terms at the smallest m on the way, terms below at the subtree's tf maximum and m
+minimum) is under the item's current k-th score is skipped, best child first; a subtree of at
+most ``LEAF_DOCS`` documents (a contiguous range in depth-first order) is scored exactly in
+one numpy step instead of node by node. Local top-k lists are merged by a window per item;
 the global top k is contained in the union of the local ones, so the result is exact.
 
 Scale: all counts are map-side combined aggregates; a hot term only adds to partial counts.
@@ -32,6 +34,7 @@ or term-free item returns nothing. Extra columns of either table are dropped fir
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 
@@ -47,7 +50,7 @@ __all__ = ["TERM", "terms_of", "top_documents", "brute_force", "search_tree"]
 # Fixed values of the contract: the term pattern and the constants of the score.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K = 10
-SHARD_ROWS = 2_000_000
+SHARD_ROWS = 250_000
 BLOCK_ITEMS = 2_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,7 +65,12 @@ def gain(tf: int, m: int) -> int:
 
 
 class _Tree:
-    """Trie of frequency-ordered (term, tf) paths with subtree bounds."""
+    """Trie of frequency-ordered (term, tf) paths with subtree bounds.
+
+    After :meth:`summarise`, documents are numbered in depth-first order of the node where
+    their path ends, so every subtree holds one contiguous range of documents, and the
+    (term, tf) entries of the documents lie in flat arrays in that order.
+    """
 
     def __init__(self):
         self.term, self.tf, self.parent = [-1], [0], [-1]
@@ -82,13 +90,13 @@ class _Tree:
                 self.children.append({})
                 self.docs.append([])
             node = child
-        self.docs[node].append((doc_id, m))
+        self.docs[node].append((doc_id, m, path))
 
     def summarise(self) -> None:
-        """Per node: minimal m, maximal tf and the terms (bit set) in the subtree strictly below it."""
+        """Per node: minimal m, maximal tf and the terms (bit set) strictly below it; document ranges."""
         size = len(self.term)
         inf = float("inf")
-        self.m_min = [min((m for _, m in d), default=inf) for d in self.docs]
+        self.m_min = [min((m for _, m, _ in d), default=inf) for d in self.docs]
         self.tf_below = [0] * size
         self.below = [0] * size
         # children always have larger indices than their parent: one backward sweep settles all
@@ -97,52 +105,108 @@ class _Tree:
             self.m_min[up] = min(self.m_min[up], self.m_min[node])
             self.tf_below[up] = max(self.tf_below[up], self.tf[node], self.tf_below[node])
             self.below[up] |= self.below[node] | (1 << self.term[node])
-
-
-def search_tree(tree: _Tree, weights: dict[int, int], k: int) -> list[tuple[int, object]]:
-    """The k best (score, doc_id) of one item over one tree, ties by ascending doc_id, nulls last."""
+        # documents in depth-first order: a subtree is the range first[node]:last[node]
+        self.first, self.last = [0] * size, [0] * size
+        ids, ms, starts, terms, tfs = [], [], [0], [], []
+        stack = [(0, False)]
+        while stack:
+            node, done = stack.pop()
+            if done:
+                self.last[node] = len(ids)
+                continue
+            self.first[node] = len(ids)
+            for doc_id, m, path in self.docs[node]:
+                ids.append(doc_id)
+                ms.append(m)
+                terms.extend(t for t, _ in path)
+                tfs.extend(f for _, f in path)
+                starts.append(len(terms))
+            stack.append((node, True))
+            stack.extend((child, False) for child in self.children[node].values())
+        self.doc_ids, self.doc_m = ids, np.array(ms, dtype=np.int64)
+        self.starts = np.array(starts, dtype=np.int64)
+        self.entry_term, self.entry_tf = np.array(terms, dtype=np.int64), np.array(tfs, dtype=np.int64)
+        self.entry_doc = np.repeat(np.arange(len(ids)), np.diff(self.starts))
+        self.docs = None  # the flat arrays hold them now
+
+
+#: A subtree with at most this many documents is scored whole, in one vectorised step.
+LEAF_DOCS = 256
+
+
+def search_tree(tree: _Tree, weights: dict[int, int], k: int, leaf: int = LEAF_DOCS) -> list[tuple[int, object]]:
+    """The k best (score, doc_id) of one item over one tree, ties by ascending doc_id, nulls last.
+
+    Depth-first branch and bound. A node's bound is the path's matched terms, each at the
+    smallest m met on the way down (m only grows with depth, so these gains never fall short),
+    plus every wanted term occurring below at the subtree's largest tf and smallest m. Children
+    are taken best bound first; a subtree under the current k-th score is skipped, and one with
+    at most ``leaf`` documents is scored exactly in one step.
+    """
     wanted = 0
     for term in weights:
         wanted |= 1 << term
-    best: list = []  # heap of (score, order key): the worst kept entry on top
+    lookup = np.zeros(max(weights, default=0) + 1, dtype=np.int64)
+    for term, w in weights.items():
+        lookup[term] = w
+    best: list = []  # heap of (score, order key, doc_id): the worst kept entry on top
 
     def order_key(doc_id):
         # larger key = better on equal score: smaller ids first, null last
         return (0, 0) if doc_id is None else (1, -doc_id)
 
-    def threshold() -> int:
+    def limit() -> int:
         return best[0][0] if len(best) == k else 1  # scores must exceed 0
 
-    def bound(node: int, path: list[tuple[int, int]]) -> int:
-        m = tree.m_min[node]
-        total = sum(weights[t] * gain(tf, m) for t, tf in path)
+    def below_bound(node: int) -> int:
         rest = tree.below[node] & wanted
-        if rest:
-            top = gain(tree.tf_below[node], m)
-            while rest:
-                low = rest & -rest
-                total += weights[low.bit_length() - 1] * top
-                rest ^= low
-        return total
-
-    stack = [(0, [])]
-    while stack:
-        node, path = stack.pop()
-        if bound(node, path) < threshold():
-            continue
-        for doc_id, m in tree.docs[node]:
-            score = sum(weights[t] * gain(tf, m) for t, tf in path)
-            if score <= 0:
-                continue
+        total = 0
+        while rest:
+            low = rest & -rest
+            total += weights[low.bit_length() - 1]
+            rest ^= low
+        return total * gain(tree.tf_below[node], tree.m_min[node]) if total else 0
+
+    def score_range(a: int, b: int) -> None:
+        lo, hi = tree.starts[a], tree.starts[b]
+        terms = tree.entry_term[lo:hi]
+        known = terms < len(lookup)
+        w = np.where(known, lookup[np.where(known, terms, 0)], 0)
+        tf = tree.entry_tf[lo:hi]
+        m = tree.doc_m[tree.entry_doc[lo:hi]]
+        part = w * ((1_000_000_000 * tf) // (1000 * tf + 8 * m))
+        # every document has at least one entry: segments are never empty
+        scores = np.add.reduceat(part, tree.starts[a:b] - lo) if hi > lo else np.zeros(b - a, dtype=np.int64)
+        floor = limit()
+        for i in np.flatnonzero(scores >= floor):
+            score = int(scores[i])
+            doc_id = tree.doc_ids[a + i]
             entry = (score, order_key(doc_id), doc_id)
             if len(best) < k:
                 heapq.heappush(best, entry)
             elif entry[:2] > best[0][:2]:
                 heapq.heapreplace(best, entry)
-        for (term, tf), child in tree.children[node].items():
-            # a branch without any of the item's terms, under a path without them, scores 0 throughout
-            if path or term in weights or tree.below[child] & wanted:
-                stack.append((child, path + [(term, tf)] if term in weights else path))
+
+    m_min, children, first, last = tree.m_min, tree.children, tree.first, tree.last
+    stack = [(below_bound(0), 0, 0)]  # bound, node, path bound
+    while stack:
+        bound, node, path_bound = stack.pop()
+        if bound < limit():
+            continue
+        if last[node] - first[node] <= leaf:
+            score_range(first[node], last[node])
+            continue
+        found = []
+        for (term, tf), child in children[node].items():
+            step = path_bound + weights[term] * gain(tf, m_min[child]) if term in weights else path_bound
+            if step or tree.below[child] & wanted:
+                found.append((step + below_bound(child), child, step))
+        # documents ending exactly at this node come first in its range
+        ends = min((first[c] for c in children[node].values()), default=last[node])
+        if ends > first[node]:
+            score_range(first[node], ends)
+        found.sort(key=lambda f: f[0])  # most promising child last: it is taken next
+        stack.extend(found)
     return [(score, doc_id) for score, _, doc_id in sorted(best, reverse=True)]
 
 

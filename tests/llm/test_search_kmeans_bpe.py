@@ -52,6 +52,8 @@ def test_tree_search_prunes_nothing_it_needs():
     tree.summarise()
     top = search.search_tree(tree, {0: 100, 1: 50}, 3)
     assert [d for _, d in top] == [9, 3, 4]
+    # the same with leaf buckets of one document: bounds, not buckets, decide
+    assert search.search_tree(tree, {0: 100, 1: 50}, 3, leaf=0) == top
 
 
 def test_search_of_empty_tables(spark):
