@@ -168,6 +168,92 @@ def erasure_applied(spark, folder):
         governance.removal_audit({"transactions": (banking.transactions(spark, folder), "account_id")}, owned, "account_id"))
 
 
+# Removal that removes: tables stored by key bucket, requests carried through a cascade of keys.
+REMOVAL_BUCKETS = 32
+ERASURE_ID = "erasure-pending-review"
+_ERASED = ("customers", "accounts", "transactions", "digital_engagement", "complaints", "product")
+
+
+def _erasure_store(spark, folder):
+    """Every table with customer data, and the product, stored by key bucket; the request applied twice."""
+    people = banking.customers(spark, folder)
+    tables = {
+        "customers": (people, "customer_id"), "accounts": (banking.accounts(spark, folder), "customer_id"),
+        "transactions": (banking.transactions(spark, folder), "account_id"),
+        "digital_engagement": (banking.digital_engagement(spark, folder), "customer_id"),
+        "complaints": (banking.complaints(spark, folder), "customer_id"), "product": (v1(spark, folder), "customer_id"),
+    }
+    base = run_dir(spark, "erasure")
+    held = governance.store_for_removal(tables, base, REMOVAL_BUCKETS)
+    requests = people.filter(C("kyc_status") == "PENDING_REVIEW")
+    cascade = [("customers", "customer_id", "request", None), ("accounts", "customer_id", "request", None),
+               ("transactions", "account_id", "accounts", "account_id"),
+               ("digital_engagement", "customer_id", "request", None), ("complaints", "customer_id", "request", None),
+               ("product", "customer_id", "request", None)]
+    for _ in range(2):  # the second run finds the request in the log and changes nothing
+        governance.apply_removal(spark, held, cascade, requests, "customer_id", ERASURE_ID, f"{base}/_log", REMOVAL_BUCKETS)
+    return held, f"{base}/_log"
+
+
+def _remaining(spark, held, name):
+    from keelmark.operators.versions import BUCKET
+    return spark.read.parquet(held[name][0]).drop(BUCKET)
+
+
+view("erased_accounts_of", "SELECT account_id FROM accounts WHERE customer_id IN (SELECT customer_id FROM erasure_requests)",
+     "accounts", "erasure_requests")
+
+
+@query("erased_accounts", "SELECT * FROM accounts WHERE customer_id NOT IN (SELECT customer_id FROM erasure_requests)",
+       "accounts", "erasure_requests")
+def erased_accounts(spark, folder):
+    """Accounts left after the erasure request, removed from the stored table bucket by bucket."""
+    held, _ = _erasure_store(spark, folder)
+    return _remaining(spark, held, "accounts")
+
+
+@query("erased_transactions", "SELECT * FROM transactions WHERE account_id NOT IN (SELECT account_id FROM erased_accounts_of)",
+       "transactions", "erased_accounts_of")
+def erased_transactions(spark, folder):
+    """Movements left: they go with the accounts of erased customers (customer -> account -> movement)."""
+    held, _ = _erasure_store(spark, folder)
+    return _remaining(spark, held, "transactions")
+
+
+@query("erased_product", "SELECT * FROM v1 WHERE customer_id NOT IN (SELECT customer_id FROM erasure_requests)",
+       "v1", "erasure_requests")
+def erased_product(spark, folder):
+    held, _ = _erasure_store(spark, folder)
+    return _remaining(spark, held, "product")
+
+
+@query("erasure_log", " UNION ALL ".join(
+    [f"SELECT '{ERASURE_ID}' AS request_id, '{t}' AS table_name, 'customer_id' AS key_column, "
+     f"count(*) FILTER (customer_id IN (SELECT customer_id FROM erasure_requests)) AS rows_removed FROM {t}"
+     for t in ("customers", "accounts", "digital_engagement", "complaints")]
+    + [f"SELECT '{ERASURE_ID}', 'transactions', 'account_id', count(*) FILTER (account_id IN (SELECT account_id FROM erased_accounts_of)) FROM transactions",
+       f"SELECT '{ERASURE_ID}', 'product', 'customer_id', count(*) FILTER (customer_id IN (SELECT customer_id FROM erasure_requests)) FROM v1"]),
+    *_BY_CUSTOMER, "transactions", "erasure_requests", "erased_accounts_of", "v1")
+def erasure_log(spark, folder):
+    """The audit log after the request ran twice: one row per table, written once."""
+    _, log = _erasure_store(spark, folder)
+    return spark.read.parquet(log)
+
+
+@query("retained_accounts", "SELECT * FROM accounts WHERE account_id NOT IN (SELECT account_id FROM expired)", "accounts", "expired")
+def retained_accounts(spark, folder):
+    """Accounts past retention removed from the stored table, which is bucketed by customer; their movements go too."""
+    accounts = banking.accounts(spark, folder)
+    held = governance.store_for_removal(
+        {"accounts": (accounts, "customer_id"), "transactions": (banking.transactions(spark, folder), "account_id")},
+        run_dir(spark, "retention"), REMOVAL_BUCKETS)
+    expired = governance.expired_accounts(_remaining(spark, held, "accounts"), RETAINED_AT)
+    expired = stored(expired.select("account_id", "customer_id"), "expired-accounts")
+    governance.remove_by_key(held["transactions"][0], "account_id", expired, "account_id", REMOVAL_BUCKETS)
+    governance.remove_by_key(held["accounts"][0], "account_id", expired, "account_id", REMOVAL_BUCKETS, bucket_by="customer_id")
+    return _remaining(spark, held, "accounts")
+
+
 @query("json_path_listing", """
 SELECT event_type, CAST(props ->> '$.k' AS BIGINT) AS k, count(*) AS entries FROM (SELECT event_type, CAST(props AS JSON) AS props FROM events) GROUP BY ALL
 """)

@@ -151,3 +151,31 @@ def test_entities_conform_and_report_domains(spark):
         ("1", date(2024, 1, 31), "VERIFIED"), ("2", None, "VERIFIED"), ("3", None, "VERIFIED")]
     found = {r.column_name: (r.violations, r.nulls) for r in entities.domain_violations(got, "customers").collect()}
     assert found == {"customer_segment": (1, 1), "onboarding_channel": (0, 3), "kyc_status": (0, 0)}
+
+
+def test_erasure_cascade_removes_rows_and_logs_once(spark, tmp_path):
+    import os
+
+    people = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "customer_id bigint, name string")
+    accounts = spark.createDataFrame([(10, 1), (11, 1), (20, 2), (30, 3), (40, None)], "account_id bigint, customer_id bigint")
+    moves = spark.createDataFrame([(10, 5.0), (11, 1.0), (20, 2.0), (30, 3.0), (None, 4.0)], "account_id bigint, amount double")
+    base = str(tmp_path / "store")
+    held = governance.store_for_removal(
+        {"customers": (people, "customer_id"), "accounts": (accounts, "customer_id"), "transactions": (moves, "account_id")}, base, 4)
+    before = {d: os.listdir(os.path.join(held["transactions"][0], d)) for d in os.listdir(held["transactions"][0]) if "=" in d}
+    cascade = [("customers", "customer_id", "request", None), ("accounts", "customer_id", "request", None),
+               ("transactions", "account_id", "accounts", "account_id")]
+    requests = spark.createDataFrame([(1,), (1,), (None,)], "customer_id bigint")
+    log = str(tmp_path / "log")
+    assert governance.apply_removal(spark, held, cascade, requests, "customer_id", "r1", log, 4)
+    assert not governance.apply_removal(spark, held, cascade, requests, "customer_id", "r1", log, 4)
+    read = lambda name: spark.read.parquet(held[name][0]).drop(versions.BUCKET)
+    assert sorted(r[0] for r in read("accounts").select("account_id").collect()) == [20, 30, 40]
+    assert sorted(r[1] for r in read("transactions").collect()) == [2.0, 3.0, 4.0]
+    assert read("customers").count() == 3
+    assert sorted((r["table_name"], r["rows_removed"]) for r in spark.read.parquet(log).collect()) == [
+        ("accounts", 2), ("customers", 1), ("transactions", 2)]
+    touched = {versions.BUCKET + "=" + str(r[0]) for r in spark.createDataFrame([(10,), (11,)], "k bigint")
+               .select(versions.key_bucket("k", 4)).collect()}
+    after = {d: os.listdir(os.path.join(held["transactions"][0], d)) for d in os.listdir(held["transactions"][0]) if "=" in d}
+    assert all(after[d] == files for d, files in before.items() if d not in touched)  # untouched buckets keep their files
