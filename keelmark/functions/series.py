@@ -34,3 +34,26 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], count: i
     """The first ``count`` rows per key in the given order; the limit is applied before the shuffle."""
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= count).drop("_rank")
+
+
+def as_of(probes: DataFrame, spans: DataFrame, key: str, at: str, start: str, value: str, name: str) -> DataFrame:
+    """``probes`` with ``name``: the ``value`` of the last span of the same key starting at or before ``at``.
+
+    Spans and probes are merged in one order per key (time, a span before a probe at the same
+    time) and the last span value seen is carried forward, so the plan is one exchange and one
+    sort: no calendar of dates, no range join. A probe before every span of its key, or without
+    any span, gets null; null keys meet only null keys. The window of a key holds its spans and
+    probes, so callers keep spans to one row per change (not per day or row of history).
+    """
+    carried = [c for c in probes.columns]
+    kind = spans.schema[value].dataType.simpleString()
+    span_rows = spans.select(F.col(key).alias("_key"), F.col(start).alias("_at"), F.lit(0).alias("_kind"),
+                             F.col(value).alias("_value"), F.lit(None).alias("_probe"))
+    probe_rows = probes.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"),
+                               F.lit(None).cast(kind).alias("_value"), F.struct(*carried).alias("_probe"))
+    span_rows = span_rows.withColumn("_probe", F.col("_probe").cast(probe_rows.schema["_probe"].dataType))
+    merged = span_rows.unionByName(probe_rows)
+    ordered = Window.partitionBy("_key").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried_value = F.last("_value", ignorenulls=True).over(ordered)
+    return (merged.withColumn(name, carried_value).where(F.col("_kind") == 1)
+            .select(*[F.col("_probe")[c].alias(c) for c in carried], name))

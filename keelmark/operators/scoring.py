@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keelmark import settings as S
 from keelmark.functions.columns import any_of, bounded, points, total
+from keelmark.functions.series import as_of as as_of_join
 from keelmark.functions.temporal import day
 
 C = F.col
@@ -116,6 +117,16 @@ def products_held(snapshots: DataFrame, as_of: date, days: int = S.HISTORY_DAYS)
     )
 
 
+def products_held_as_of(probes: DataFrame, spans: DataFrame, as_of: date, days: int = S.HISTORY_DAYS) -> DataFrame:
+    """``probes`` with products_held_90d_ago: the count of the last holding span begun ``days`` before ``as_of``.
+
+    That is the newest month-end snapshot at least ``days`` old, read from the spans of changes
+    by an as-of join instead of from a calendar of month ends.
+    """
+    dated = probes.withColumn("_probe_at", F.date_sub(day(as_of), days))
+    return as_of_join(dated, spans, "customer_id", "_probe_at", "span_start", "product_count", "products_held_90d_ago").drop("_probe_at")
+
+
 def with_downgrade(product: DataFrame, held_before: DataFrame) -> DataFrame:
     known = product.join(held_before, "customer_id", "left").withColumn(
         "products_held_90d_ago", F.coalesce("products_held_90d_ago", "total_products_held"))
@@ -132,6 +143,13 @@ def lifetime_value() -> Column:
     return F.round(scaled / (10 * S.CLV_TENURE_CAP), 2).cast("decimal(15,2)")
 
 
+def with_downgrade_as_of(product: DataFrame, spans: DataFrame, as_of: date) -> DataFrame:
+    """The downgrade flag with the holdings of 90 days ago taken by an as-of join on the product rows themselves."""
+    known = products_held_as_of(product, spans, as_of).withColumn(
+        "products_held_90d_ago", F.coalesce("products_held_90d_ago", "total_products_held"))
+    return known.withColumn("product_downgrade_flag", C("total_products_held") < C("products_held_90d_ago"))
+
+
 def with_lifetime_value(product: DataFrame) -> DataFrame:
     value = C("estimated_clv")
     return product.withColumn("estimated_clv", lifetime_value()).withColumn(

@@ -36,10 +36,11 @@ def build_v1(
 
 
 def build_v2(
-    sources: Sources, snapshots: DataFrame, as_of: date = S.AS_OF, scored_at: datetime = S.SCORED_AT,
+    sources: Sources, spans: DataFrame, as_of: date = S.AS_OF, scored_at: datetime = S.SCORED_AT,
 ) -> DataFrame:
+    """Version 2; ``spans`` are the holding spans of :func:`keelmark.sources.banking.holding_spans`."""
     frame = scored_customers(sources, as_of)
-    frame = scoring.with_downgrade(frame, scoring.products_held(snapshots, as_of))
+    frame = scoring.with_downgrade_as_of(frame, spans, as_of)
     frame = scoring.with_lifetime_value(frame)
     frame = scoring.with_confidence(frame)
     frame = scoring.with_vulnerability(frame)

@@ -153,6 +153,25 @@ def complaints(spark: SparkSession, folder: str, since: date | Column | None = N
     )
 
 
+def holding_spans(held: DataFrame, until: date | Column) -> DataFrame:
+    """Spans of a constant number of open accounts per customer, up to ``until``: one row per change.
+
+    customer_id, span_start (the month end from which the count holds), product_count (> 0).
+    Openings count from the month end after opening, closures until the one after closing.
+    Changes are two projections of the accounts, unioned (no generator), summed per customer
+    and month end, and turned into running counts by one window per customer, whose length is
+    the number of months with a change, not the number of accounts.
+    """
+    last = day(until)
+    opened = held.select("customer_id", F.last_day("opened_date").alias("span_start"), F.lit(1).alias("change"))
+    closed = held.select("customer_id", F.last_day("closed_date").alias("span_start"), F.lit(-1).alias("change"))
+    changes = (opened.unionByName(closed).filter(F.col("span_start") <= last)
+               .groupBy("customer_id", "span_start").agg(F.sum("change").alias("change")))
+    ordered = Window.partitionBy("customer_id").orderBy("span_start")
+    return (changes.select("customer_id", "span_start", F.sum("change").over(ordered).cast("int").alias("product_count"))
+            .filter("product_count > 0"))
+
+
 def product_snapshots(held: DataFrame, until: date | Column) -> DataFrame:
     """Month-end count of accounts open per customer, up to ``until``.
 

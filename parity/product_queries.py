@@ -162,8 +162,12 @@ def snapshots(spark, folder):
     return banking.product_snapshots(banking.accounts(spark, folder), F.date_sub(F.lit(S.AS_OF), S.HISTORY_DAYS))
 
 
+def spans(spark, folder):
+    return banking.holding_spans(banking.accounts(spark, folder), F.date_sub(F.lit(S.AS_OF), S.HISTORY_DAYS))
+
+
 def v2(spark, folder):
-    return product.build_v2(banking.load(spark, folder), snapshots(spark, folder))
+    return product.build_v2(banking.load(spark, folder), spans(spark, folder))
 
 
 # ------------------------------------------------------------------- features
@@ -315,16 +319,18 @@ query("churn_product_v2", f"SELECT {V2_LIST} FROM v2", "v2")(v2)
 
 @query("products_90d_ago", "SELECT * FROM held_90d_ago", "held_90d_ago")
 def products_90d_ago(spark, folder):
-    return scoring.products_held(snapshots(spark, folder), S.AS_OF)
+    """Customers with holdings 90 days ago: an as-of join of one probe per customer over the spans of changes."""
+    held = spans(spark, folder)
+    customers = held.select("customer_id").distinct()
+    return scoring.products_held_as_of(customers, held, S.AS_OF).where(F.col("products_held_90d_ago").isNotNull())
 
 
 @query("product_downgrade", """
 SELECT customer_id, total_products_held, products_held_90d_ago, product_downgrade_flag FROM v2
 """, "v2")
 def product_downgrade(spark, folder):
-    held = scoring.products_held(snapshots(spark, folder), S.AS_OF)
     frame = features.customer_features(banking.load(spark, folder), S.AS_OF)
-    return scoring.with_downgrade(frame, held).select(
+    return scoring.with_downgrade_as_of(frame, spans(spark, folder), S.AS_OF).select(
         "customer_id", "total_products_held", "products_held_90d_ago", "product_downgrade_flag")
 
 

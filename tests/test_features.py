@@ -113,3 +113,19 @@ def test_snapshots_match_a_month_by_month_count(spark):
                 if open_ and end <= until:
                     expected.append((customer, end, open_))
         assert rows(banking.product_snapshots(held, until)) == sorted(expected)
+
+
+def test_as_of_join_takes_the_last_span_begun(spark):
+    from keelmark.functions.series import as_of
+
+    spans = spark.createDataFrame(
+        [(1, date(2024, 1, 31), 2), (1, date(2024, 3, 31), 5), (2, date(2024, 5, 31), 1), (None, date(2024, 1, 31), 7)],
+        "k bigint, start date, n int")
+    probes = spark.createDataFrame(
+        [(1, date(2024, 3, 31), "on a start"), (1, date(2024, 2, 15), "between"), (1, date(2023, 1, 1), "before"),
+         (2, date(2024, 6, 1), "after"), (3, date(2024, 6, 1), "no spans"), (None, date(2024, 6, 1), "null key"),
+         (1, date(2024, 2, 15), "between")],
+        "k bigint, at date, label string")
+    got = sorted((r["label"], r["held"]) for r in as_of(probes, spans, "k", "at", "start", "n", "held").collect())
+    assert got == [("after", 1), ("before", None), ("between", 2), ("between", 2), ("no spans", None),
+                   ("null key", 7), ("on a start", 5)]

@@ -70,3 +70,8 @@ def test_refresh_does_not_rank_the_current_table(spark):
 def test_latest_engagement_stays_in_hash_aggregation(spark, folder):
     text = plan(features.latest_engagement(banking.digital_engagement(spark, folder), date(2001, 9, 1)))
     assert "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["products_90d_ago", "product_downgrade", "churn_product_v2"])
+def test_holdings_as_of_need_no_calendar(spark, folder, name):
+    assert "Generate" not in plan(QUERIES[name](spark, folder))
