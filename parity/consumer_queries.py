@@ -267,6 +267,21 @@ def json_path_listing(spark, folder):
 SELECT event_type AS table_name, count(*) AS row_count, count(*) FILTER (value < 1) AS null_count, max(ts) AS newest FROM events GROUP BY event_type
 """)
 def stream_metrics(spark, folder):
+    """Metrics on change with running state per table, read from the stream's newest state version."""
     home = run_dir(spark, "stream")
-    stream.start(spark, folder, SCHEMAS["events"], f"{home}/history", f"{home}/checkpoint", glob="events.parquet").awaitTermination()
-    return stream.combined(spark, f"{home}/history")
+    for running in stream.start_stateful(spark, folder, SCHEMAS["events"], f"{home}/state", f"{home}/checkpoint", glob="events.parquet"):
+        running.awaitTermination()
+    return stream.running_state(spark, f"{home}/state").drop("duplicate_count")
+
+
+@query("stream_quality_state", """
+SELECT event_type AS table_name, count(DISTINCT event_id) AS row_count,
+       count(*) FILTER (value < 1) AS null_count, count(*) - count(DISTINCT event_id) AS duplicate_count, max(ts) AS newest
+FROM events GROUP BY event_type
+""")
+def stream_quality_state(spark, folder):
+    """J1, J2, J4 and J5 per table from a stream with a watermark and removal of repeats inside it."""
+    home = run_dir(spark, "stream-state")
+    for running in stream.start_stateful(spark, folder, SCHEMAS["events"], f"{home}/state", f"{home}/checkpoint", glob="events.parquet"):
+        running.awaitTermination()
+    return stream.running_state(spark, f"{home}/state")

@@ -36,3 +36,25 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     once = rows(stream.combined(spark, history))
     write(batch, 1)
     assert rows(stream.combined(spark, history)) == once
+
+
+def test_running_state_removes_repeats_and_equals_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    inbox, state, checkpoint = (str(tmp_path / n) for n in ("inbox", "state", "checkpoint"))
+    first = events(spark, 0, 10)
+    first.coalesce(1).write.mode("append").parquet(inbox)
+    run = lambda: [q.awaitTermination() for q in stream.start_stateful(spark, inbox, SCHEMAS["events"], state, checkpoint, files_per_batch=1)]
+    run()
+    # repeats of ids 5-7, new ids, and an out-of-order record inside the watermark (hour 8 after hour 9)
+    later = events(spark, 5, 3).unionByName(events(spark, 10, 3)).unionByName(events(spark, 8, 1).withColumn("event_id", F.lit(99).cast("bigint")))
+    later.coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    run()  # nothing new: the state stays as it was
+    every = spark.read.parquet(inbox)
+    unique = every.dropDuplicates(["event_id"])
+    expected = rows(stream.batch_metrics(unique).join(
+        every.groupBy(F.col("event_type").alias("table_name")).count(), "table_name").select(
+        "table_name", "row_count", "null_count", (F.col("count") - F.col("row_count")).alias("duplicate_count"), "newest"))
+    assert rows(stream.running_state(spark, state)) == expected
+    assert sum(r[3] for r in expected) == 3
