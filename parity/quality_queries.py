@@ -13,7 +13,7 @@ from keelmark.operators import quality, rules
 from keelmark.plans import contract as contracts
 from keelmark.sources import banking
 from keelmark.sources.tables import stored
-from parity.product_queries import v1, v2
+from parity.product_queries import v1, v1_earlier, v2
 from parity.registry import query, view
 
 CHECKS = (datetime(2001, 9, 1, 12, 0, 0), datetime(2001, 9, 3, 12, 0, 0))
@@ -152,7 +152,32 @@ def dq_duplicate_count(spark, folder):
 @query("dq_unique_counts", " UNION ALL ".join(
     f"SELECT 'UNIQUE_COUNT' AS metric_name, '{c}' AS column_name, count(DISTINCT {c}) AS value FROM v1" for c in S.CARDINALITY_COLUMNS), "v1")
 def dq_unique_counts(spark, folder):
-    return quality.unique_counts(v1(spark, folder))
+    """The key counted alone; dimensions by dictionary-coded bitmaps, which later days can merge with."""
+    from keelmark.operators import cardinality
+    from keelmark.session import run_dir
+
+    frame = stored(v1(spark, folder), "unique-counts-product")
+    key, dimensions = S.CARDINALITY_COLUMNS[0], list(S.CARDINALITY_COLUMNS[1:])
+    dictionary = cardinality.extend_dictionary(frame, dimensions, f"{run_dir(spark, 'cardinality')}/dictionary")
+    keyed = frame.agg(F.count_distinct(key).alias("value")).select(
+        F.lit("UNIQUE_COUNT").alias("metric_name"), F.lit(key).alias("column_name"), "value")
+    return keyed.unionByName(cardinality.merged_counts(cardinality.day_bitmaps(frame, "today", dimensions, dictionary)))
+
+
+@query("dq_unique_counts_merged", " UNION ALL ".join(
+    f"SELECT 'UNIQUE_COUNT' AS metric_name, '{c}' AS column_name, count(DISTINCT {c}) AS value FROM (SELECT * FROM v1 UNION ALL SELECT * FROM v1_earlier)"
+    for c in S.CARDINALITY_COLUMNS), "v1", "v1_earlier")
+def dq_unique_counts_merged(spark, folder):
+    """Distinct counts over two days, from bitmaps stored per day and merged: no day is read twice."""
+    from keelmark.operators import cardinality
+    from keelmark.session import run_dir
+
+    home = run_dir(spark, "cardinality")
+    key, dimensions = S.CARDINALITY_COLUMNS[0], list(S.CARDINALITY_COLUMNS[1:])
+    for label, frame in (("earlier", v1_earlier(spark, folder)), ("current", v1(spark, folder))):
+        dictionary = cardinality.extend_dictionary(frame, dimensions, f"{home}/dictionary")
+        cardinality.day_bitmaps(frame, label, dimensions, dictionary, key).write.mode("append").partitionBy("day").parquet(f"{home}/bitmaps")
+    return cardinality.merged_counts(spark.read.parquet(f"{home}/bitmaps"))
 
 
 @query("dq_row_count", "SELECT 'ROW_COUNT' AS metric_name, '*' AS column_name, count(*) AS value FROM v1", "v1")

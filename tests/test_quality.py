@@ -102,3 +102,21 @@ def test_high_risk_share(spark):
     row = quality.high_risk_share(df).first()
     assert (float(row.high_risk_percent), row.violated) == (25.0, True)
     assert not quality.high_risk_share(df.unionByName(df.filter("risk_tier = 'LOW'"))).first().violated
+
+
+def test_bitmaps_merge_days_exactly(spark, tmp_path):
+    from keelmark.operators import cardinality
+
+    schema = "k bigint, tier string, region string"
+    day1 = spark.createDataFrame([(1, "LOW", "EU"), (2, "HIGH", None), (70000, "LOW", "EU")], schema)
+    day2 = spark.createDataFrame([(2, "MEDIUM", "ASIA"), (3, "LOW", "EU"), (None, None, "US")], schema)
+    path, store = str(tmp_path / "dictionary"), str(tmp_path / "bitmaps")
+    first = {(r[0], r[1]): r[2] for r in cardinality.extend_dictionary(day1, ["tier", "region"], path).collect()}
+    for label, frame in (("d1", day1), ("d2", day2)):
+        dictionary = cardinality.extend_dictionary(frame, ["tier", "region"], path)
+        cardinality.day_bitmaps(frame, label, ["tier", "region"], dictionary, "k").write.mode("append").partitionBy("day").parquet(store)
+    again = {(r[0], r[1]): r[2] for r in spark.read.parquet(path).collect()}
+    assert all(again[v] == code for v, code in first.items())  # codes never change
+    assert len(again) == len(set(again)) == 6
+    got = {r["column_name"]: r["value"] for r in cardinality.merged_counts(spark.read.parquet(store)).collect()}
+    assert got == {"k": 4, "tier": 3, "region": 3}
