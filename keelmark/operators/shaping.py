@@ -63,3 +63,37 @@ def multiplied(df: DataFrame, times: int, name: str = "n") -> DataFrame:
 def surrogate_key(prefix: str, key: Column, width: int) -> Column:
     """Prefixed, zero-padded key derived from the natural key: no global numbering is needed."""
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
+
+
+def continue_sequence(df: DataFrame, sequence: str, load: str, name: str = "seq") -> DataFrame:
+    """Number the rows of ``df`` densely, continuing the stored ``sequence``, and record the load.
+
+    ``df`` should be read from storage, so that partitions and their order are the same on a
+    recompute. Rows are counted per partition (one row per partition reaches the driver), the
+    counts become offsets, and each row takes ``last + offset(partition) + position + 1``, its
+    position read from ``monotonically_increasing_id`` (record number in the lower 33 bits).
+    No sort and no window over all rows. The sequence table gets one row per load (load,
+    first_number, last_number); a load already recorded raises instead of numbering twice.
+    """
+    spark = df.sparkSession
+    schema = "load string, first_number bigint, last_number bigint"
+    try:
+        history = spark.read.schema(schema).parquet(sequence)
+        done = history.agg(F.max("last_number"), F.count_if(F.col("load") == load)).first()
+    except Exception:  # the first load of the sequence
+        history, done = None, (None, 0)
+    if done[1]:
+        raise ValueError(f"load {load!r} is numbered already")
+    last = done[0] or 0
+    tagged = df.withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    counts = dict(tagged.groupBy("_part").count().collect())
+    offsets, running = [], 0
+    for part in range(max(counts, default=-1) + 1):
+        offsets.append(running)
+        running += counts.get(part, 0)
+    position = F.col("_id") - F.shiftleft(F.col("_part").cast("bigint"), 33)
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_part") + 1) if offsets else F.lit(0)
+    numbered = tagged.withColumn(name, (F.lit(last) + offset + position + 1).cast("bigint")).drop("_part", "_id")
+    if running:
+        spark.createDataFrame([(load, last + 1, last + running)], schema).write.mode("append").parquet(sequence)
+    return numbered

@@ -6,7 +6,7 @@ from keelmark import settings as S
 from keelmark.functions import temporal
 from keelmark.operators import features, shaping
 from keelmark.sources import banking, entities
-from keelmark.sources.tables import table
+from keelmark.sources.tables import stored, table
 from parity.registry import query, view
 
 # ------------------------------------------------------------------ SQL views
@@ -201,6 +201,29 @@ def surrogate_keys(spark, folder):
         shaping.surrogate_key("CUST-", F.col("customer_id"), 6).alias("customer_code"))
 
 
+@query("sequence_loads", """
+SELECT load_name, n AS row_count, CASE WHEN n > 0 THEN (sum(n) OVER (ORDER BY load_name) - n + 1)::BIGINT END AS first_number,
+       CASE WHEN n > 0 THEN (sum(n) OVER (ORDER BY load_name))::BIGINT END AS last_number, n AS distinct_numbers
+FROM (
+  SELECT 'opened before 1997' AS load_name, count(*) AS n FROM accounts WHERE opened_date < DATE '1997-01-01'
+  UNION ALL SELECT 'opened since 1997', count(*) FROM accounts WHERE NOT (opened_date < DATE '1997-01-01') OR opened_date IS NULL)
+""", "accounts")
+def sequence_loads(spark, folder):
+    """Two loads of accounts numbered by one sequence that continues: no gap, no repeat, no global sort."""
+    from keelmark.session import run_dir
+
+    home = run_dir(spark, "sequence")
+    accounts = stored(banking.accounts(spark, folder), "accounts-to-number")
+    early = F.col("opened_date") < F.lit("1997-01-01").cast("date")
+    out = None
+    for label, rows in (("opened before 1997", accounts.where(early)), ("opened since 1997", accounts.where(~early | F.col("opened_date").isNull()))):
+        loaded = stored(shaping.continue_sequence(stored(rows, "load"), f"{home}/sequence", label), "numbered")
+        summary = loaded.agg(F.count("*").alias("row_count"), F.min("seq").alias("first_number"), F.max("seq").alias("last_number"),
+                             F.count_distinct("seq").alias("distinct_numbers")).select(F.lit(label).alias("load_name"), "*")
+        out = summary if out is None else out.unionByName(summary)
+    return out
+
+
 @query("scalar_function_battery", """
 SELECT o_orderkey AS order_key,
        CAST(od - INTERVAL 3 MONTH AS DATE) AS three_months_before,

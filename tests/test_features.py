@@ -129,3 +129,19 @@ def test_as_of_join_takes_the_last_span_begun(spark):
     got = sorted((r["label"], r["held"]) for r in as_of(probes, spans, "k", "at", "start", "n", "held").collect())
     assert got == [("after", 1), ("before", None), ("between", 2), ("between", 2), ("no spans", None),
                    ("null key", 7), ("on a start", 5)]
+
+
+def test_sequence_continues_without_gap_or_repeat(spark, tmp_path):
+    from keelmark.operators import shaping
+
+    seq = str(tmp_path / "seq")
+    first = spark.range(0, 1000, numPartitions=7).toDF("k")
+    second = spark.range(1000, 1250, numPartitions=3).toDF("k")
+    a = shaping.continue_sequence(first, seq, "a").collect()
+    b = shaping.continue_sequence(second, seq, "b").collect()
+    numbers = sorted(r["seq"] for r in a + b)
+    assert numbers == list(range(1, 1251))
+    assert sorted(r["seq"] for r in b) == list(range(1001, 1251))
+    assert shaping.continue_sequence(spark.range(0).toDF("k"), seq, "empty").count() == 0
+    with pytest.raises(ValueError):
+        shaping.continue_sequence(second, seq, "b")
