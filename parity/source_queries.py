@@ -201,6 +201,10 @@ def surrogate_keys(spark, folder):
         shaping.surrogate_key("CUST-", F.col("customer_id"), 6).alias("customer_code"))
 
 
+#: Buckets of the clustered layout: both sides of a join must have the same number.
+LAYOUT_BUCKETS = 16
+
+
 @query("sequence_loads", """
 SELECT load_name, n AS row_count, CASE WHEN n > 0 THEN (sum(n) OVER (ORDER BY load_name) - n + 1)::BIGINT END AS first_number,
        CASE WHEN n > 0 THEN (sum(n) OVER (ORDER BY load_name))::BIGINT END AS last_number, n AS distinct_numbers
@@ -224,6 +228,24 @@ def sequence_loads(spark, folder):
     return out
 
 
+@query("bucketed_account_activity", """
+SELECT a.account_id, a.customer_id, count(t.txn_id) AS txn_count, max(t.txn_date) AS last_txn_date
+FROM accounts a LEFT JOIN transactions t ON a.account_id = t.account_id
+GROUP BY a.account_id, a.customer_id
+""", "accounts", "transactions")
+def bucketed_account_activity(spark, folder):
+    """Accounts and their movements stored bucketed and sorted by account: joined and grouped without an exchange."""
+    import uuid
+
+    from keelmark.sources.tables import bucketed_table
+
+    run = uuid.uuid4().hex[:12]
+    accounts = bucketed_table(banking.accounts(spark, folder), f"accounts_by_account_{run}", "account_id", LAYOUT_BUCKETS)
+    moves = bucketed_table(banking.transactions(spark, folder), f"transactions_by_account_{run}", "account_id", LAYOUT_BUCKETS, ["txn_date"])
+    joined = accounts.select("account_id", "customer_id").join(moves.select("account_id", "txn_id", "txn_date"), "account_id", "left")
+    return joined.groupBy("account_id", "customer_id").agg(F.count("txn_id").alias("txn_count"), F.max("txn_date").alias("last_txn_date"))
+
+
 @query("scalar_function_battery", """
 SELECT o_orderkey AS order_key,
        CAST(od - INTERVAL 3 MONTH AS DATE) AS three_months_before,

@@ -75,3 +75,15 @@ def test_latest_engagement_stays_in_hash_aggregation(spark, folder):
 @pytest.mark.parametrize("name", ["products_90d_ago", "product_downgrade", "churn_product_v2"])
 def test_holdings_as_of_need_no_calendar(spark, folder, name):
     assert "Generate" not in plan(QUERIES[name](spark, folder))
+
+
+def test_bucketed_tables_join_without_exchange(spark, folder):
+    # as at scale, where neither side is small enough to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["bucketed_account_activity"](spark, folder)
+        text = plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text
+    assert df.count() > 0
