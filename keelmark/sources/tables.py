@@ -103,3 +103,22 @@ def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, sort: Seque
     """
     (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *sort).format("parquet").saveAsTable(name))
     return df.sparkSession.table(name)
+
+
+def append_once(entries: DataFrame, path: str, id_column: str) -> int:
+    """Append log entries whose id the log does not hold yet; returns how many were appended.
+
+    Entries of an id already logged are skipped, so a repeated or resumed run adds nothing.
+    Columns are written as they are, VARIANT payloads included.
+    """
+    spark = entries.sparkSession
+    try:
+        logged = spark.read.parquet(path).select(id_column)
+        fresh = entries.join(logged, id_column, "left_anti")
+    except Exception:  # no log yet
+        fresh = entries
+    kept = stored(fresh, "log-append")
+    appended = kept.count()
+    if appended:
+        kept.write.mode("append").parquet(path)
+    return appended

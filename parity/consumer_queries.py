@@ -254,6 +254,37 @@ def retained_accounts(spark, folder):
     return _remaining(spark, held, "accounts")
 
 
+EVOLUTION_ID = "product-1.0.0-to-2.0.0"
+EVOLUTION_REASON = "additive release: holdings, lifetime value, confidence and vulnerability"
+
+
+@query("lineage_log", f"""
+SELECT '{EVOLUTION_ID}' AS change_id, '1.0.0' AS from_version, '2.0.0' AS to_version,
+       unnest([{", ".join(f"'{c}'" for c in S.V2_ADDED)}]) AS column_name, '{EVOLUTION_REASON}' AS reason,
+       (SELECT count(*) FROM v2) AS rows_at_change
+""", "v2")
+def lineage_log(spark, folder):
+    """Schema evolution logged with a VARIANT payload, appended twice (the second append is skipped), then listed."""
+    from keelmark.sources.tables import append_once
+
+    before, after = v1(spark, folder), v2(spark, folder)
+    added = [c for c in after.columns if c not in before.columns]
+    payload = F.to_json(F.struct(F.array(*[F.lit(c) for c in added]).alias("added"), F.lit(EVOLUTION_REASON).alias("reason"),
+                                 F.col("rows").alias("rows")))
+    entries = after.agg(F.count("*").alias("rows")).select(
+        F.lit(EVOLUTION_ID).alias("change_id"), F.lit("1.0.0").alias("from_version"), F.lit("2.0.0").alias("to_version"),
+        F.parse_json(payload).alias("payload"))
+    log = f"{run_dir(spark, 'lineage')}/log"
+    for _ in range(2):
+        append_once(entries, log, "change_id")
+    listed = spark.read.parquet(log)
+    return listed.select(
+        "change_id", "from_version", "to_version",
+        F.explode(F.variant_get("payload", "$.added", "array<string>")).alias("column_name"),
+        F.variant_get("payload", "$.reason", "string").alias("reason"),
+        F.variant_get("payload", "$.rows", "bigint").alias("rows_at_change"))
+
+
 @query("json_path_listing", """
 SELECT event_type, CAST(props ->> '$.k' AS BIGINT) AS k, count(*) AS entries FROM (SELECT event_type, CAST(props AS JSON) AS props FROM events) GROUP BY ALL
 """)

@@ -179,3 +179,15 @@ def test_erasure_cascade_removes_rows_and_logs_once(spark, tmp_path):
                .select(versions.key_bucket("k", 4)).collect()}
     after = {d: os.listdir(os.path.join(held["transactions"][0], d)) for d in os.listdir(held["transactions"][0]) if "=" in d}
     assert all(after[d] == files for d, files in before.items() if d not in touched)  # untouched buckets keep their files
+
+
+def test_log_append_is_once_per_id_and_keeps_variant(spark, tmp_path):
+    log = str(tmp_path / "log")
+    entries = spark.createDataFrame([("c1", '{"added": ["a", "b"], "reason": "x"}'), ("c2", '{"added": [], "reason": null}')],
+                                    "change_id string, body string").select("change_id", F.parse_json("body").alias("payload"))
+    assert tables.append_once(entries, log, "change_id") == 2
+    assert tables.append_once(entries, log, "change_id") == 0
+    read = spark.read.parquet(log)
+    assert read.schema["payload"].dataType.simpleString() == "variant"
+    got = sorted((r[0], r[1]) for r in read.select("change_id", F.variant_get("payload", "$.added", "array<string>")).collect())
+    assert got == [("c1", ["a", "b"]), ("c2", [])]
