@@ -36,6 +36,20 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], count: i
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= count).drop("_rank")
 
 
+def newest_with_previous(df: DataFrame, keys: Sequence[str], time: str, value: str, name: str, count: int) -> DataFrame:
+    """The ``count`` newest rows per key, each with ``lag(value)`` over the whole series.
+
+    The lag of the newest ``count`` rows only needs the row before the oldest of them, so the
+    ``count + 1`` newest rows are kept first (a limit applied before the shuffle), the lag is
+    taken among them, and the extra row is dropped: one exchange, whatever the series length.
+    """
+    kept = newest(df, keys, [F.desc(time)], count + 1)
+    rank = Window.partitionBy(*keys).orderBy(F.desc(time))
+    ordered = Window.partitionBy(*keys).orderBy(time)
+    return (kept.withColumns({name: F.lag(value).over(ordered), "_rank": F.row_number().over(rank)})
+            .filter(F.col("_rank") <= count).drop("_rank"))
+
+
 def as_of(probes: DataFrame, spans: DataFrame, key: str, at: str, start: str, value: str, name: str) -> DataFrame:
     """``probes`` with ``name``: the ``value`` of the last span of the same key starting at or before ``at``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelmark import settings as S
-from keelmark.functions.series import newest, with_previous
+from keelmark.functions.series import newest, newest_with_previous, with_previous
 from keelmark.functions.temporal import hour_of, hours_crossed, moment, moment_before
 
 C = F.col
@@ -53,7 +53,8 @@ def row_counts_with_previous(history: DataFrame) -> DataFrame:
 
 def row_count_stability(history: DataFrame, limit: int = 20) -> DataFrame:
     """Change against the preceding count, for the newest counts of every table."""
-    recent = newest(row_counts_with_previous(history), ["table_name"], [F.desc("measurement_time")], limit)
+    counts = history.filter(C("metric_name") == "ROW_COUNT")
+    recent = newest_with_previous(counts, ["table_name"], "measurement_time", "value", "previous", limit)
     percent = (C("value") - C("previous")) / F.nullif(C("previous"), F.lit(0)) * 100
     return recent.select(
         "table_name", hour_of(C("measurement_time")).alias("check_time"), C("value").alias("row_count"),
@@ -172,7 +173,8 @@ def expectation_alert(status: DataFrame, at: datetime, hours: int = 1) -> DataFr
 
 def row_count_drop_alert(history: DataFrame) -> DataFrame:
     """Per table: is one of its two newest counts more than the limit below the preceding count?"""
-    two = newest(row_counts_with_previous(history), ["table_name"], [F.desc("measurement_time")], 2)
+    counts = history.filter(C("metric_name") == "ROW_COUNT")
+    two = newest_with_previous(counts, ["table_name"], "measurement_time", "value", "previous", 2)
     dropped = (C("previous") > 0) & ((C("previous") - C("value")) * 100 > C("previous") * S.ROW_COUNT_CHANGE_PERCENT)
     return two.groupBy("table_name").agg((F.count_if(dropped) > 0).alias("triggered"))
 

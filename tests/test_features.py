@@ -145,3 +145,17 @@ def test_sequence_continues_without_gap_or_repeat(spark, tmp_path):
     assert shaping.continue_sequence(spark.range(0).toDF("k"), seq, "empty").count() == 0
     with pytest.raises(ValueError):
         shaping.continue_sequence(second, seq, "b")
+
+
+def test_newest_with_previous_equals_lag_over_whole_series(spark):
+    from pyspark.sql import Window
+
+    from keelmark.functions.series import newest_with_previous
+
+    rows_ = [("a", t, t * 10) for t in range(50)] + [("b", 1, 5), (None, 3, 7), (None, 4, 8)]
+    df = spark.createDataFrame(rows_, "k string, t int, v int")
+    full = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
+    expected = full.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("t")))).filter("r <= 3").drop("r")
+    got = newest_with_previous(df, ["k"], "t", "v", "p", 3)
+    key = lambda r: (r[0] or "", r[1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, expected.collect()), key=key)

@@ -87,3 +87,9 @@ def test_bucketed_tables_join_without_exchange(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["row_count_stability", "alert_row_count_drop"])
+def test_newest_counts_with_lag_need_at_most_two_exchanges(spark, folder, name):
+    text = plan(QUERIES[name](spark, folder))
+    assert text.count("Exchange") <= 2 and "WindowGroupLimit" in text
