@@ -83,8 +83,16 @@ def model_proto(ranks: dict[bytes, int]) -> bytes:
     return model.SerializeToString()
 
 
+#: Distinct pre-tokens whose ids a codec keeps; beyond it the cache starts afresh (bounded memory).
+CACHE_PIECES = 200_000
+
+
 class Codec:
-    """Encoder and decoder over one serialised model and one splitting pattern."""
+    """Encoder and decoder over one serialised model and one splitting pattern.
+
+    The ids of a pre-token depend on that pre-token alone, so they are kept in a bounded cache:
+    each distinct pre-token is merged once per ``CACHE_PIECES`` distinct ones seen.
+    """
 
     def __init__(self, proto: bytes, pattern: str):
         import regex
@@ -92,28 +100,35 @@ class Codec:
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.splitter = regex.compile(pattern)
-        self.forward = str.maketrans({b: c for b, c in zip(range(256), byte_table())})
-        self.backward = {ord(c): b for b, c in enumerate(byte_table())}
+        table = byte_table()
+        self.forward = str.maketrans({b: c for b, c in enumerate(table)})
+        self.backward = str.maketrans({c: chr(b) for b, c in enumerate(table)})
+        self.cache: dict[str, list[int]] = {}
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text: each pre-token byte-mapped and merged on its own; null is empty."""
         if not text:
             return []
-        pieces = [
-            piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.forward)
-            for piece in self.splitter.findall(text)
-        ]
+        pieces = self.splitter.findall(text)
+        cache = self.cache
+        distinct = set(pieces)
+        if len(cache) + len(distinct) > CACHE_PIECES:
+            cache.clear()
+        missing = [piece for piece in distinct if piece not in cache]
+        if missing:
+            mapped = [piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.forward) for piece in missing]
+            for piece, ids in zip(missing, self.processor.encode(mapped, out_type=int)):
+                cache[piece] = ids
         ids: list[int] = []
-        for part in self.processor.encode(pieces, out_type=int):
-            ids.extend(part)
+        for piece in pieces:
+            ids.extend(cache[piece])
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
-        """Bytes of ids: pieces joined and mapped back character by character."""
+        """Bytes of ids: pieces joined and mapped back, each character to its byte."""
         if not ids:
             return b""
-        mapped = "".join(self.processor.id_to_piece(ids))
-        return bytes(self.backward[ord(c)] for c in mapped)
+        return "".join(self.processor.id_to_piece(ids)).translate(self.backward).encode("latin-1")
 
 
 _CODECS: dict[int, Codec] = {}
