@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -117,12 +118,9 @@ class Codec:
         missing = [piece for piece in distinct if piece not in cache]
         if missing:
             mapped = [piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.forward) for piece in missing]
-            for piece, ids in zip(missing, self.processor.encode(mapped, out_type=int)):
+            for piece, ids in zip(missing, self.processor.encode(mapped, out_type=int, num_threads=1)):
                 cache[piece] = ids
-        ids: list[int] = []
-        for piece in pieces:
-            ids.extend(cache[piece])
-        return ids
+        return list(chain.from_iterable(map(cache.__getitem__, pieces)))
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of ids: pieces joined and mapped back, each character to its byte."""
