@@ -104,12 +104,10 @@ class Codec:
         table = byte_table()
         self.forward = str.maketrans({b: c for b, c in enumerate(table)})
         self.backward = str.maketrans({c: chr(b) for b, c in enumerate(table)})
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, tuple] = {}
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a text: each pre-token byte-mapped and merged on its own; null is empty."""
-        if not text:
-            return []
+    def _entries(self, text: str) -> list[tuple]:
+        """Per pre-token of the text: (ids, ids as decimal text, decoded bytes), from the cache."""
         pieces = self.splitter.findall(text)
         cache = self.cache
         distinct = set(pieces)
@@ -119,8 +117,24 @@ class Codec:
         if missing:
             mapped = [piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.forward) for piece in missing]
             for piece, ids in zip(missing, self.processor.encode(mapped, out_type=int, num_threads=1)):
-                cache[piece] = ids
-        return list(chain.from_iterable(map(cache.__getitem__, pieces)))
+                # decoded from the ids, by the inverse byte map, once per distinct pre-token
+                cache[piece] = (ids, ",".join(map(str, ids)), self.decode(ids))
+        return [cache[piece] for piece in pieces]
+
+    def encode(self, text: str | None) -> list[int]:
+        """Ids of a text: each pre-token byte-mapped and merged on its own; null is empty."""
+        if not text:
+            return []
+        return list(chain.from_iterable(entry[0] for entry in self._entries(text)))
+
+    def digest(self, text: str | None) -> tuple[int, str, str, bool]:
+        """n_tokens, sha256 of the ids as comma-joined decimals, sha256 of the decoded bytes, and round trip."""
+        entries = self._entries(text) if text else []
+        count = sum(len(entry[0]) for entry in entries)
+        listed = ",".join(entry[1] for entry in entries if entry[0])
+        decoded = b"".join(entry[2] for entry in entries)
+        return (count, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
+                decoded == (text or "").encode("utf-8", "surrogatepass"))
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of ids: pieces joined and mapped back, each character to its byte."""
@@ -161,14 +175,11 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str | None = None) -> Data
                 part = batch.slice(start, 256)
                 counts, id_hashes, text_hashes, same = [], [], [], []
                 for text in part.column("text").to_pylist():
-                    text = text or ""
-                    ids = codec.encode(text)
-                    decoded = codec.decode(ids)
-                    counts.append(len(ids))
-                    id_hashes.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                    text_hashes.append(hashlib.sha256(decoded).hexdigest())
-                    same.append(decoded == text.encode("utf-8", "surrogatepass"))
-                    del ids, decoded
+                    count, ids_hash, text_hash, whole = codec.digest(text)
+                    counts.append(count)
+                    id_hashes.append(ids_hash)
+                    text_hashes.append(text_hash)
+                    same.append(whole)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()),
                      pa.array(text_hashes, pa.string()), pa.array(same, pa.bool_())],
