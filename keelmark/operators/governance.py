@@ -15,6 +15,9 @@ from keelmark.session import run_dir
 
 C = F.col
 
+#: A removal broadcasts at most this many keys.
+BROADCAST_KEYS = 1_000_000
+
 
 def masked_view(df: DataFrame, contract: Contract, roles: Iterable[str]) -> DataFrame:
     """The table as seen by a session with these roles: any authorised role sees the value."""
@@ -66,8 +69,10 @@ def remove_by_key(path: str, key: str, keys: DataFrame, on: str, buckets: int, b
     """Delete the rows of a bucketed table whose ``key`` is listed; only buckets holding a listed key are rewritten.
 
     The touched buckets are read (partition pruning), the listed keys taken away by an anti-join,
-    the rest staged in a new folder and written back with dynamic partition overwrite; a bucket
-    left without rows is replaced by an empty one. Untouched buckets keep their files. Null keys
+    the rest staged by bucket in a new folder and written back, as staged, with dynamic partition
+    overwrite; a bucket left without rows is replaced by an empty one. Up to ``BROADCAST_KEYS`` keys
+    are broadcast, and the table is not shuffled at all; more are joined by a shuffle, and the rest
+    dealt out by bucket again. ``keys`` are read several times and should be stored. Untouched buckets keep their files. Null keys
     are never listed. When the table is bucketed by another column than ``key``, ``bucket_by``
     names that column in ``keys``: the listed rows then say which buckets they live in.
     Returns the number of rows removed.
@@ -80,12 +85,14 @@ def remove_by_key(path: str, key: str, keys: DataFrame, on: str, buckets: int, b
         return 0
     current = spark.read.parquet(path).where(C(BUCKET).isin(touched))
     before = current.count()
-    kept = current.join(listed, C(key) == C("_listed"), "left_anti")
+    few = listed.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    kept = current.join(F.broadcast(listed) if few else listed, C(key) == C("_listed"), "left_anti")
+    kept = kept if few else kept.repartition(BUCKET)
     staging = run_dir(spark, "removal-stage")
-    kept.repartition(BUCKET).write.partitionBy(BUCKET).parquet(staging)
+    kept.write.partitionBy(BUCKET).parquet(staging)
     staged = spark.read.schema(kept.schema).parquet(staging)  # the schema is given: all rows may be gone
     after = {r[0]: r[1] for r in staged.groupBy(BUCKET).count().collect()}
-    staged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
     schema = current.drop(BUCKET).schema
     for bucket in touched:
         if bucket not in after:
@@ -120,15 +127,16 @@ def apply_removal(spark, stored: Mapping[str, tuple[str, str]], cascade: Iterabl
     if done:
         return False
     requested = keys.select(C(on).alias("_key")).where(C("_key").isNotNull()).distinct()
-    gathered = {"request": (requested, "_key")}
-    entries = []
+    gathered = {"request": (_held(requested, "request"), "_key")}
+    cascade, entries = list(cascade), []
     for table, key, source, source_key in cascade:
         frame, column = gathered[source]
         listed = frame.select(C(source_key or column).alias("_key"))
-        # keys of the rows about to go, kept for the tables further down the cascade
         path, _ = stored[table]
-        going = spark.read.parquet(path).join(listed.select(C("_key").alias("_k")), C(key) == C("_k"), "left_semi")
-        gathered[table] = (_held(going.drop(BUCKET), table), key)
+        wanted = {column or key for _, _, origin, column in cascade if origin == table}
+        if wanted:  # keys of the rows about to go, kept for the tables further down the cascade
+            going = spark.read.parquet(path).join(listed.select(C("_key").alias("_k")), C(key) == C("_k"), "left_semi")
+            gathered[table] = (_held(going.select(*sorted(wanted)).distinct(), table), key)
         removed = remove_by_key(path, key, listed, "_key", buckets)
         entries.append((request_id, table, key, removed))
     log = spark.createDataFrame(entries, "request_id string, table_name string, key_column string, rows_removed bigint")
@@ -137,7 +145,7 @@ def apply_removal(spark, stored: Mapping[str, tuple[str, str]], cascade: Iterabl
 
 
 def _held(df: DataFrame, purpose: str) -> DataFrame:
-    # rows that the next step deletes are read by later steps: store them first, in the shared folder
+    # keys of rows that the next step deletes are read by later steps: store them first, in the shared folder
     path = run_dir(df.sparkSession, f"removal-{purpose}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -58,8 +58,8 @@ def refresh_buckets(path: str, incoming: DataFrame, key: str, buckets: int, vers
     """Keyed refresh in place: only the buckets that incoming keys fall into are rewritten.
 
     The touched buckets of the stored table are read (partition pruning on the bucket folder),
-    merged with the incoming rows by :func:`upsert`, staged in a new folder, and then written
-    back with dynamic partition overwrite, which replaces exactly the bucket folders present in
+    merged with the incoming rows by :func:`upsert`, staged in a new folder as they come, and then
+    dealt out by bucket and written back with dynamic partition overwrite, which replaces exactly the bucket folders present in
     the output. Files of untouched buckets are not opened, moved or renamed. A failure before the
     last write leaves the table as it was; a failure during it is mended by repeating the last
     write from the staged copy. Returns the touched bucket numbers (at most ``buckets`` values).
@@ -72,7 +72,7 @@ def refresh_buckets(path: str, incoming: DataFrame, key: str, buckets: int, vers
     current = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
     merged = upsert(current.drop(BUCKET), fresh.drop(BUCKET), key, version).withColumn(BUCKET, key_bucket(key, buckets))
     staging = run_dir(spark, "refresh-stage")
-    merged.repartition(BUCKET).write.partitionBy(BUCKET).parquet(staging)
+    merged.write.parquet(staging)
     (spark.read.parquet(staging).repartition(BUCKET).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     return touched
