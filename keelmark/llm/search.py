@@ -245,7 +245,9 @@ def top_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), terms_of(F.col("text").cast("string")).alias("terms"))
     texts = texts.withColumn("rid", F.monotonically_increasing_id()).withColumn("n", F.size("terms").cast("bigint"))
-    totals = texts.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+    # terms are counted where they stand: no array is built, and lower-casing A-Z changes no term's extent
+    sizes = docs.select(F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(TERM)).cast("bigint").alias("n"))
+    totals = sizes.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     n_docs, n_terms = int(totals["N"]), int(totals["L"])
 
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()

@@ -1,0 +1,21 @@
+"""Search counts a document's terms once as an array; the totals need only their number."""
+
+from pyspark.sql import functions as F
+
+from keelmark.llm import search
+
+
+def test_number_of_terms_is_the_length_of_the_array(spark):
+    texts = ["", "a", "A b-C", "É é1 x_y", "[Z]`z{", "\x00 9:@", "naïve café ÀB\n中文", None, "-" * 5, "AbC" * 3]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    assert docs.where(F.size(search.terms_of(F.col("text"))) != F.regexp_count(text, F.lit(search.TERM))).count() == 0
+
+
+def test_totals_build_no_array_of_terms(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(search.F, "regexp_count", lambda *a, f=F.regexp_count: asked.append(a) or f(*a))
+    docs = spark.createDataFrame([(1, "a b"), (2, "A c")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "a")], "item_id bigint, text string")
+    got = search.top_documents(docs, items).collect()
+    assert len(asked) == 1 and [(r["rank"], r["doc_id"]) for r in got] == [(1, 1), (2, 2)]
