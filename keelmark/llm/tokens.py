@@ -6,7 +6,6 @@ Documents are never split over blocks; checkpoints within a block part a very lo
 over all documents and lies beside the blocks; it has one entry for each vocabulary id.
 """
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +19,19 @@ from keelmark.session import run_dir
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
+SLICE_ROWS = 64  # texts encoded at once: the library's encodings take far more room than their ids
 
 
-def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id``, ``tie`` and ``ids`` (little-endian unsigned 32-bit, with the end id) of every row."""
+def width(vocabulary: str, end_id: int = END_ID) -> str:
+    """The narrowest type that holds every id."""
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(vocabulary).get_vocab(with_added_tokens=True).values()
+    return "<u2" if max(end_id, *ids) < 1 << 16 else "<u4"
+
+
+def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID, dtype: str = "<u4") -> DataFrame:
+    """``doc_id``, ``tie`` and ``ids`` (little-endian unsigned 32-bit or as ``dtype``, with the end id) of every row."""
     narrow = identified(docs).withColumn("tie", F.xxhash64("text"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -31,23 +39,23 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
 
         tokenizer = Tokenizer.from_file(vocabulary)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
+            for at in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = [np.array([*e.ids, end_id], "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                ids = [np.array([*e.ids, end_id], dtype).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.select("doc_id", "text", "tie").mapInArrow(encoded, f"doc_id {kind}, tie bigint, ids binary")
 
 
-def counted(tokens: DataFrame) -> np.ndarray:
+def counted(tokens: DataFrame, dtype: str = "<u4") -> np.ndarray:
     """How often each id occurs, over all rows. Tasks send their sums; the driver gets one row per vocabulary id."""
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                got = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
+                got = np.bincount(np.frombuffer(ids.as_py(), dtype))
                 if len(got) > len(total):
                     total = np.pad(total, (0, len(got) - len(total)))
                 total[: len(got)] += got
@@ -63,8 +71,9 @@ def counted(tokens: DataFrame) -> np.ndarray:
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> None:
     """Write ``folder/blocks`` and ``folder/table``, in ascending id order; equal ids in the order of a text hash."""
-    tokens = stored(tokenised(docs, vocabulary, end_id), "token-ids")
-    frequencies = quantised(counted(tokens))
+    dtype = width(vocabulary, end_id)
+    tokens = stored(tokenised(docs, vocabulary, end_id, dtype), "token-ids")
+    frequencies = quantised(counted(tokens, dtype))
     spark = docs.sparkSession
     spark.createDataFrame([(frequencies.astype("<i8").tobytes(),)], "frequencies binary").coalesce(1).write.parquet(f"{folder}/table")
 
@@ -84,7 +93,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, b
             kind = batch.schema.field("doc_id").type
             for doc, ids, part in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), batch.column("part").to_pylist()):
                 shard = part
-                held.append((doc, np.frombuffer(ids.as_py(), "<u4")))
+                held.append((doc, np.frombuffer(ids.as_py(), dtype)))
                 size += len(held[-1][1])
                 if size >= block_tokens:
                     yield block()
