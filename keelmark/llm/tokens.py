@@ -4,9 +4,16 @@ The container is a Parquet table of blocks, so that Spark's writers commit it an
 block with its shard (a range of ids), its number, the ids and token counts of its documents, and the coded bytes.
 Documents are never split over blocks; checkpoints within a block part a very long one. The frequency table is counted
 over all documents and lies beside the blocks; it has one entry for each vocabulary id.
+
+Texts are encoded by the tokenizers library. Where its file asks for plain byte-level BPE, a text is cut first at places
+that no token of it crosses, and a worker keeps the ids of the pieces it met last, so each is merged once, not each time.
 """
 
+import json
+import os
+import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +27,14 @@ from keelmark.session import run_dir
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
 SLICE_ROWS = 64  # texts encoded at once: the library's encodings take far more room than their ids
+KEPT_PIECES = 500_000  # pieces of either generation whose ids a worker keeps
+
+#: What the library's splitting pattern takes as white space; all of it but space and newline; maximal parts to cut at.
+WHITE = r"\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_ODD = re.compile(r"[\x09\x0b-\x0d\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RUNS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+_MARKS = ".,;:!?"
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def width(vocabulary: str, end_id: int = END_ID) -> str:
@@ -30,19 +45,138 @@ def width(vocabulary: str, end_id: int = END_ID) -> str:
     return "<u2" if max(end_id, *ids) < 1 << 16 else "<u4"
 
 
+class Encoder:
+    """Ids of whole texts as ``dtype`` bytes, by the tokenizers library.
+
+    The byte-level pattern never lets a token run from another character into white space, and gives the last space of a
+    run to what follows. So a text whose white space is single spaces and newlines may be cut before each of them, and
+    any text into ``_RUNS``: the ids of the parts, one after the other, are those of the whole. Parts are encoded a line
+    each; the newline's id cannot come from a part. Texts that hold an added token, and files that ask for more than
+    byte-level BPE, are encoded whole.
+
+    A part goes by a key: itself after ``\\r``, or from its newline on, or without the space before it.
+    """
+
+    def __init__(self, vocabulary: str, dtype: str):
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        plan = json.loads(Path(vocabulary).read_text(encoding="utf-8"))
+        split, model = plan.get("pre_tokenizer") or {}, plan.get("model") or {}
+        self.tokenizer, self.dtype = Tokenizer.from_file(vocabulary), dtype
+        self.added = [t["content"] for t in plan.get("added_tokens") or ()]
+        newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if newline else None
+        self.cuts = (
+            len(newline) == 1 and model.get("type") == "BPE" and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+            and not any(plan.get(k) for k in ("normalizer", "truncation", "padding"))
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")))
+        if self.cuts:  # the same model for words that the pattern leaves whole, without its search; they are new, so uncached
+            merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+            self.merger = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0, ignore_merges=bool(model.get("ignore_merges"))))
+            self.merger.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.CharDelimiterSplit("\n"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def lines(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without white space, but for one space that may come first."""
+        ids = np.frombuffer(self.whole(["\n".join(parts)])[0], self.dtype)
+        size, data = ids.itemsize, ids.tobytes()
+        ends = (np.flatnonzero(ids == self.newline) * size).tolist()
+        return [data[a:b] for a, b in zip([0, *(e + size for e in ends)], [*ends, len(data)], strict=True)]
+
+    def words(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that are one match of the pattern each: plain letters, after one space or none."""
+        got = self.merger.encode_batch(["\n".join(parts)], add_special_tokens=False)[0]
+        ids = np.array(got.ids, self.dtype)
+        size, data = ids.itemsize, ids.tobytes()
+        ends = ((np.flatnonzero(np.diff(got.word_ids)) + 1) * size).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], [*ends, len(data)], strict=True)]
+
+    def keys(self, text: str) -> list[str]:
+        keys = text.replace("\n", " \n").split(" ")
+        if "" in keys or "\n" in keys or _ODD.search(text):  # white space side by side, at an end, or of other kinds
+            return ["\r" + part for part in _RUNS.findall(text)]
+        keys[0] = "\r" + keys[0]
+        return keys
+
+    def learn(self, missing: set[str]) -> None:
+        """Take the missing keys into the younger generation; the older one goes when that is full."""
+        if len(self.young) > KEPT_PIECES:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        marked, words, fresh = [], set(), set()
+        for key in missing:
+            if key in old:
+                young[key] = old[key]
+            elif _WORD.fullmatch(key):
+                words.add(key)
+            else:
+                core = key.rstrip(_MARKS)
+                if len(core) < len(key) and _WORD.fullmatch(core):  # a plain letter ends a token where a mark follows
+                    mark = "\r" + key[len(core):]
+                    marked.append((key, core, mark))
+                    words.add(core)
+                    fresh.add(mark)
+                else:
+                    fresh.add(key)
+        words = [key for key in words if key not in young]
+        if words:
+            young.update(zip(words, self.words([" " + key for key in words]), strict=True))
+        plain, apart = {}, {}
+        for key in fresh.difference(young):
+            part = key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key
+            (apart if key[0] in "\r\n" and (not part or part.isspace() or "\n" in part or _ODD.search(part)) else plain)[key] = part
+        if apart:
+            young.update(zip(apart, self.whole(list(apart.values())), strict=True))
+        if plain:
+            young.update(zip(plain, self.lines(list(plain.values())), strict=True))
+        for key, core, mark in marked:
+            young[key] = young[core] + young[mark]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found: list = []
+        missing: set[str] = set()
+        for text in texts:
+            if not self.cuts or any(token in text for token in self.added):
+                found.append(None)
+                continue
+            keys = self.keys(text)
+            ids = list(map(self.young.get, keys))
+            gaps = [(at, keys[at]) for at, known in enumerate(ids) if known is None] if None in ids else []
+            missing.update(key for _, key in gaps)
+            found.append((ids, gaps))
+        if missing:
+            self.learn(missing)
+        whole = iter(self.whole([text for text, cut in zip(texts, found) if cut is None]))
+        out = []
+        for cut in found:
+            if cut is None:
+                out.append(next(whole))
+                continue
+            ids, gaps = cut
+            for at, key in gaps:
+                ids[at] = self.young[key]
+            out.append(b"".join(ids))
+        return out
+
+
 def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID, dtype: str = "<u4") -> DataFrame:
     """``doc_id``, ``tie`` and ``ids`` (little-endian unsigned 32-bit or as ``dtype``, with the end id) of every row."""
     narrow = identified(docs).withColumn("tie", F.xxhash64("text"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores
+        encoder, end = Encoder(vocabulary, dtype), np.array([end_id], dtype).tobytes()
         for batch in batches:
             for at in range(0, len(batch), SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = [np.array([*e.ids, end_id], dtype).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                ids = [found + end for found in encoder.encode(texts)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
@@ -54,11 +188,10 @@ def counted(tokens: DataFrame, dtype: str = "<u4") -> np.ndarray:
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                got = np.bincount(np.frombuffer(ids.as_py(), dtype))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
-                total[: len(got)] += got
+            got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype))
+            if len(got) > len(total):
+                total = np.pad(total, (0, len(got) - len(total)))
+            total[: len(got)] += got
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
