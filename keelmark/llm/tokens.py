@@ -5,18 +5,23 @@ block with its shard (a range of ids), its number, the ids and token counts of i
 Documents are never split over blocks; checkpoints within a block part a very long one. The frequency table is counted
 over all documents and lies beside the blocks; it has one entry for each vocabulary id.
 
-Texts are encoded by the tokenizers library. Where its file asks for plain byte-level BPE, a text is cut first at places
-that no token of it crosses, and a worker keeps the ids of the pieces it met last, so each is merged once, not each time.
+Texts are encoded by the tokenizers library. Where its file asks for plain byte-level BPE, texts are cut first at places
+that no token of it crosses, some megabytes of them at once in Arrow; each distinct piece is looked up once, and a worker
+keeps the ids of the pieces it met last from task to task, so each is merged once, not each time.
 """
 
 import json
 import os
 import re
+import string
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,15 +31,21 @@ from keelmark.session import run_dir
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
-SLICE_ROWS = 64  # texts encoded at once: the library's encodings take far more room than their ids
+SLICE_ROWS = 64  # texts that the library gets at once: its encodings take far more room than their ids
+SLICE_BYTES = 4 << 20  # of texts that are cut at once, at least one text
+LINE_PARTS = 1 << 12  # pieces that the library gets at once
 KEPT_PIECES = 500_000  # pieces of either generation whose ids a worker keeps
 
 #: What the library's splitting pattern takes as white space; all of it but space and newline; maximal parts to cut at.
-WHITE = r"\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ODD = re.compile(r"[\x09\x0b-\x0d\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+WHITE = "\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_ODD = re.compile("[\x09\x0b-\x0d\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Texts with white space side by side, at an end, or of other kinds, and empty ones; in the syntax of Arrow too.
+_UNEVEN = rf"^$|^[ \n]|[ \n]$|[ \n][ \n]|{_ODD.pattern}"
 _RUNS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
-_MARKS = ".,;:!?"
-_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = string.punctuation
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_WORD = re.compile(f"[{_LETTERS}]+")
+_MARKED = rf"([{_LETTERS}])([!-/:-@\[-`{{-~])"  # a plain letter ends a token where a mark follows
 
 
 def width(vocabulary: str, end_id: int = END_ID) -> str:
@@ -49,16 +60,17 @@ class Encoder:
     """Ids of whole texts as ``dtype`` bytes, by the tokenizers library.
 
     The byte-level pattern never lets a token run from another character into white space, and gives the last space of a
-    run to what follows. So a text whose white space is single spaces and newlines may be cut before each of them, and
-    any text into ``_RUNS``: the ids of the parts, one after the other, are those of the whole. Parts are encoded a line
-    each; the newline's id cannot come from a part. Texts that hold an added token, and files that ask for more than
-    byte-level BPE, are encoded whole.
+    run to what follows. So a text whose white space is single spaces and newlines may be cut before each of them and
+    between a plain letter and a mark, and any text into ``_RUNS``: the ids of the parts, one after the other, are those
+    of the whole. Words of plain letters go to the library's model one by one, other parts to the library a line each;
+    the newline's id cannot come from a part. Texts that hold an added token, and files that ask for more than byte-level
+    BPE, are encoded whole.
 
     A part goes by a key: itself after ``\\r``, or from its newline on, or without the space before it.
     """
 
     def __init__(self, vocabulary: str, dtype: str):
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         plan = json.loads(Path(vocabulary).read_text(encoding="utf-8"))
         split, model = plan.get("pre_tokenizer") or {}, plan.get("model") or {}
@@ -71,38 +83,53 @@ class Encoder:
             and split.get("use_regex", True) and not split.get("add_prefix_space", True)
             and not any(plan.get(k) for k in ("normalizer", "truncation", "padding"))
             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")))
-        if self.cuts:  # the same model for words that the pattern leaves whole, without its search; they are new, so uncached
-            merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-            self.merger = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0, ignore_merges=bool(model.get("ignore_merges"))))
-            self.merger.pre_tokenizer = pre_tokenizers.Sequence([
-                pre_tokenizers.CharDelimiterSplit("\n"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {code: spelt(chr(code))[0][0] for code in (0x20, *range(0x41, 0x7B), *range(0xC0, 0x100))}
+        self.merge = self.tokenizer.model.tokenize
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype).tobytes() for at in range(0, len(texts), SLICE_ROWS)
+                for e in self.tokenizer.encode_batch_fast(texts[at: at + SLICE_ROWS], add_special_tokens=False)]
 
     def lines(self, parts: list[str]) -> list[bytes]:
         """Ids of parts without white space, but for one space that may come first."""
-        ids = np.frombuffer(self.whole(["\n".join(parts)])[0], self.dtype)
-        size, data = ids.itemsize, ids.tobytes()
-        ends = (np.flatnonzero(ids == self.newline) * size).tolist()
-        return [data[a:b] for a, b in zip([0, *(e + size for e in ends)], [*ends, len(data)], strict=True)]
+        out = []
+        for at in range(0, len(parts), LINE_PARTS):
+            ids = np.frombuffer(self.whole(["\n".join(parts[at: at + LINE_PARTS])])[0], self.dtype)
+            size, data = ids.itemsize, ids.tobytes()
+            ends = (np.flatnonzero(ids == self.newline) * size).tolist()
+            out += [data[a:b] for a, b in zip([0, *(e + size for e in ends)], [*ends, len(data)], strict=True)]
+        return out
 
     def words(self, parts: list[str]) -> list[bytes]:
         """Ids of parts that are one match of the pattern each: plain letters, after one space or none."""
-        got = self.merger.encode_batch(["\n".join(parts)], add_special_tokens=False)[0]
-        ids = np.array(got.ids, self.dtype)
-        size, data = ids.itemsize, ids.tobytes()
-        ends = ((np.flatnonzero(np.diff(got.word_ids)) + 1) * size).tolist()
-        return [data[a:b] for a, b in zip([0, *ends], [*ends, len(data)], strict=True)]
-
-    def keys(self, text: str) -> list[str]:
-        keys = text.replace("\n", " \n").split(" ")
-        if "" in keys or "\n" in keys or _ODD.search(text):  # white space side by side, at an end, or of other kinds
-            return ["\r" + part for part in _RUNS.findall(text)]
-        keys[0] = "\r" + keys[0]
-        return keys
+        ids, ends = [], [0]
+        for part in parts:  # spelt as the byte-level step does, which leaves the letters of ASCII as they are
+            spelt = part.replace(" ", self.spelling[0x20]) if part.isascii() else part.translate(self.spelling)
+            ids += [token.id for token in self.merge(spelt)]
+            ends.append(len(ids))
+        data = np.array(ids, self.dtype).tobytes()
+        size = np.dtype(self.dtype).itemsize
+        return [data[a * size: b * size] for a, b in pairwise(ends)]
+
+    def cut(self, texts: list[str]) -> tuple[list[int], np.ndarray, pa.Array]:
+        """Which texts may be cut, in the order of their parts; where the parts of each end; the parts' keys."""
+        column = pa.array(texts, pa.large_string())
+        barred = np.zeros(len(texts), bool)
+        for token in self.added:
+            barred |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        uneven = pc.match_substring_regex(column, _UNEVEN).to_numpy(zero_copy_only=False)
+        even = pc.replace_substring(column.filter(pa.array(~barred & ~uneven)), "\n", " \n \r")
+        even = pc.replace_substring_regex(even, _MARKED, "\\1 \r\\2")
+        first, nothing = pa.scalar("\r", even.type), pa.scalar("", even.type)
+        split = pc.split_pattern(pc.binary_join_element_wise(first, even, nothing), " ")
+        at = np.flatnonzero(~barred & uneven).tolist()
+        runs = [[part[1:] if part[0] == " " and not part.isspace() else "\r" + part for part in _RUNS.findall(texts[n])] for n in at]
+        counts = np.concatenate([np.diff(split.offsets.to_numpy()), np.array([len(r) for r in runs], np.int64)])
+        keys = pa.concat_arrays([split.flatten(), pa.array([key for run in runs for key in run], pa.large_string())])
+        return np.flatnonzero(~barred & ~uneven).tolist() + at, np.cumsum(counts, dtype=np.int64), keys
 
     def learn(self, missing: set[str]) -> None:
         """Take the missing keys into the younger generation; the older one goes when that is full."""
@@ -113,11 +140,11 @@ class Encoder:
         for key in missing:
             if key in old:
                 young[key] = old[key]
-            elif _WORD.fullmatch(key):
+            elif _WORD.fullmatch(key, key[0] == "\r"):
                 words.add(key)
             else:
                 core = key.rstrip(_MARKS)
-                if len(core) < len(key) and _WORD.fullmatch(core):  # a plain letter ends a token where a mark follows
+                if len(core) < len(key) and _WORD.fullmatch(core):
                     mark = "\r" + key[len(core):]
                     marked.append((key, core, mark))
                     words.add(core)
@@ -126,7 +153,7 @@ class Encoder:
                     fresh.add(key)
         words = [key for key in words if key not in young]
         if words:
-            young.update(zip(words, self.words([" " + key for key in words]), strict=True))
+            young.update(zip(words, self.words([key[1:] if key[0] == "\r" else " " + key for key in words]), strict=True))
         plain, apart = {}, {}
         for key in fresh.difference(young):
             part = key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key
@@ -139,42 +166,63 @@ class Encoder:
             young[key] = young[core] + young[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found: list = []
-        missing: set[str] = set()
-        for text in texts:
-            if not self.cuts or any(token in text for token in self.added):
-                found.append(None)
-                continue
-            keys = self.keys(text)
-            ids = list(map(self.young.get, keys))
-            gaps = [(at, keys[at]) for at, known in enumerate(ids) if known is None] if None in ids else []
-            missing.update(key for _, key in gaps)
-            found.append((ids, gaps))
-        if missing:
-            self.learn(missing)
-        whole = iter(self.whole([text for text, cut in zip(texts, found) if cut is None]))
-        out = []
-        for cut in found:
-            if cut is None:
-                out.append(next(whole))
-                continue
-            ids, gaps = cut
-            for at, key in gaps:
-                ids[at] = self.young[key]
-            out.append(b"".join(ids))
+        if not self.cuts:
+            return self.whole(texts)
+        order, ends, keys = self.cut(texts)
+        coded = keys.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far quicker than to_pylist
+        ids = list(map(self.young.get, distinct))
+        gaps = [at for at, known in enumerate(ids) if known is None]
+        if gaps:
+            self.learn({distinct[at] for at in gaps})
+            for at in gaps:
+                ids[at] = self.young[distinct[at]]
+        # every part's ids side by side, and from there the texts'
+        laid = pa.array(ids, pa.large_binary()).take(coded.indices)
+        places = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1) if len(laid) else np.zeros(1, np.int64)
+        data = memoryview(laid.buffers()[2] or b"")
+        bounds = places[np.concatenate([np.zeros(1, np.int64), ends])].tolist()
+        out: list = [None] * len(texts)
+        for at, (a, b) in zip(order, pairwise(bounds), strict=True):
+            out[at] = bytes(data[a:b])
+        left = [at for at, found in enumerate(out) if found is None]
+        for at, found in zip(left, self.whole([texts[at] for at in left]), strict=True):
+            out[at] = found
         return out
 
 
+@lru_cache(maxsize=1)
+def _kept(vocabulary: str, dtype: str, changed: int, size: int) -> Encoder:
+    return Encoder(vocabulary, dtype)
+
+
+def encoder_for(vocabulary: str, dtype: str) -> Encoder:
+    """The process's encoder for this file: a worker's next task goes on with the pieces that its last one kept."""
+    stat = os.stat(vocabulary)
+    return _kept(vocabulary, dtype, stat.st_mtime_ns, stat.st_size)
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where to part texts so that each part has ``SLICE_BYTES`` at most, or one text: first row and number of rows."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield at, end - at
+        at = end
+
+
 def tokenised(docs: DataFrame, vocabulary: str, end_id: int = END_ID, dtype: str = "<u4") -> DataFrame:
     """``doc_id``, ``tie`` and ``ids`` (little-endian unsigned 32-bit or as ``dtype``, with the end id) of every row."""
     narrow = identified(docs).withColumn("tie", F.xxhash64("text"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores
-        encoder, end = Encoder(vocabulary, dtype), np.array([end_id], dtype).tobytes()
+        encoder, end = encoder_for(vocabulary, dtype), np.array([end_id], dtype).tobytes()
         for batch in batches:
-            for at in range(0, len(batch), SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for at, n in slices(batch.column("text")):
+                part = batch.slice(at, n)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids = [found + end for found in encoder.encode(texts)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
