@@ -10,7 +10,9 @@ first). A text is cut into pre-tokens by the splitting pattern, each pre-token i
 and encoded on its own, and ids are decoded by mapping pieces back to their bytes.
 
 The model is built once on the driver (its size is the vocabulary's, about 1 MB for 50k
-tokens), sent to executors by broadcast, and texts are encoded in Arrow batches inside tasks.
+tokens), sent to executors by broadcast, and texts are encoded in Arrow batches inside tasks,
+some megabytes at once: the pre-tokens met for the first time are merged in one call, the ids of
+the others are kept from before, and all ids of all texts are decoded through Arrow's ``take``.
 
 Edge cases: a null text encodes as the empty text (no ids, empty decoded bytes); very long
 texts and pre-tokens are encoded whole (sentencepiece merges in n log n); repeated rows and
@@ -21,14 +23,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from itertools import chain
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, filterfalse, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelmark.llm.common import identified
+from keelmark.llm.tokens import slices
 
 __all__ = ["byte_table", "ranks_of", "model_proto", "Codec", "encoded"]
 
@@ -84,15 +89,19 @@ def model_proto(ranks: dict[bytes, int]) -> bytes:
     return model.SerializeToString()
 
 
-#: Distinct pre-tokens whose ids a codec keeps; beyond it the cache starts afresh (bounded memory).
-CACHE_PIECES = 200_000
+#: Distinct pre-tokens of either generation whose ids a codec keeps, and the most characters of one kept beyond its slice (bounded memory).
+CACHE_PIECES = 300_000
+CACHE_CHARS = 256
+
+_ID = np.dtype("<i4")
 
 
 class Codec:
     """Encoder and decoder over one serialised model and one splitting pattern.
 
-    The ids of a pre-token depend on that pre-token alone, so they are kept in a bounded cache:
-    each distinct pre-token is merged once per ``CACHE_PIECES`` distinct ones seen.
+    The ids of a pre-token depend on that pre-token alone, so those met last are kept, in two
+    generations: when the younger one is full the older goes, and what is met again moves to the
+    younger. So a frequent pre-token is merged once, however many rare ones come between.
     """
 
     def __init__(self, proto: bytes, pattern: str):
@@ -103,55 +112,76 @@ class Codec:
         self.splitter = regex.compile(pattern)
         table = byte_table()
         self.forward = str.maketrans({b: c for b, c in enumerate(table)})
-        self.backward = str.maketrans({c: chr(b) for b, c in enumerate(table)})
-        self.cache: dict[str, tuple] = {}
-
-    def _entries(self, text: str) -> list[tuple]:
-        """Per pre-token of the text: (ids, ids as decimal text, decoded bytes), from the cache."""
-        pieces = self.splitter.findall(text)
-        cache = self.cache
-        distinct = set(pieces)
-        if len(cache) + len(distinct) > CACHE_PIECES:
-            cache.clear()
-        missing = [piece for piece in distinct if piece not in cache]
-        if missing:
-            mapped = [piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.forward) for piece in missing]
-            for piece, ids in zip(missing, self.processor.encode(mapped, out_type=int, num_threads=1)):
-                # decoded from the ids, by the inverse byte map, once per distinct pre-token
-                cache[piece] = (ids, ",".join(map(str, ids)), self.decode(ids))
-        return [cache[piece] for piece in pieces]
+        backward = str.maketrans({c: chr(b) for b, c in enumerate(table)})
+        spelt = self.processor.id_to_piece(list(range(self.processor.get_piece_size())))
+        #: By id: its bytes, by the inverse byte map, and its decimal text with a comma.
+        self.spelt = pa.array([piece.translate(backward).encode("latin-1") for piece in spelt], pa.large_binary())
+        self.decimal = pa.array([b"%d," % n for n in range(len(spelt))], pa.large_binary())
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _merged(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of each pre-token, byte-mapped and merged on its own."""
+        mapped = [piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.forward) for piece in pieces]
+        ids = self.processor.encode(mapped, out_type=int, num_threads=1)
+        data = np.fromiter(chain.from_iterable(ids), _ID).tobytes()
+        ends = np.cumsum([0, *map(len, ids)]) * _ID.itemsize
+        return (data[a:b] for a, b in pairwise(ends.tolist()))
+
+    def _coded(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, all of its pre-tokens one after the other; null is empty."""
+        if len(self.young) > CACHE_PIECES:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        pieces = [self.splitter.findall(text) if text else [] for text in texts]
+        fresh = []
+        for piece in set().union(*(filterfalse(young.__contains__, part) for part in pieces)):
+            if piece in old:
+                young[piece] = old[piece]
+            else:
+                fresh.append(piece)
+        if fresh:
+            young.update(zip(fresh, self._merged(fresh), strict=True))
+        out = [b"".join(map(young.__getitem__, part)) for part in pieces]
+        for piece in fresh:
+            if len(piece) > CACHE_CHARS:
+                del young[piece]
+        return out
+
+    @staticmethod
+    def _laid(table: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, memoryview]:
+        """The table's entries for the ids side by side: where each begins (and the last ends), and their bytes."""
+        if not len(ids):
+            return np.zeros(1, np.int64), memoryview(b"")
+        laid = table.take(pa.array(ids))
+        return np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1), memoryview(laid.buffers()[2] or b"")
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text: each pre-token byte-mapped and merged on its own; null is empty."""
-        if not text:
-            return []
-        return list(chain.from_iterable(entry[0] for entry in self._entries(text)))
-
-    def digest(self, text: str | None) -> tuple[int, str, str, bool]:
-        """n_tokens, sha256 of the ids as comma-joined decimals, sha256 of the decoded bytes, and round trip."""
-        entries = self._entries(text) if text else []
-        count = sum(len(entry[0]) for entry in entries)
-        listed = ",".join(entry[1] for entry in entries if entry[0])
-        decoded = b"".join(entry[2] for entry in entries)
-        return (count, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
-                decoded == (text or "").encode("utf-8", "surrogatepass"))
+        return np.frombuffer(self._coded([text])[0], _ID).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
-        """Bytes of ids: pieces joined and mapped back, each character to its byte."""
-        if not ids:
-            return b""
-        return "".join(self.processor.id_to_piece(ids)).translate(self.backward).encode("latin-1")
-
-
-_CODECS: dict[int, Codec] = {}
-
-
+        """Bytes of ids: those that each id's piece stands for, joined."""
+        places, data = self._laid(self.spelt, np.array(ids, _ID))
+        return bytes(data[: places[-1]])
+
+    def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str, bool]]:
+        """Per text: n_tokens, sha256 of the ids as comma-joined decimals, sha256 of the decoded bytes, and round trip."""
+        coded = self._coded(texts)
+        ends = np.cumsum([0, *map(len, coded)]) // _ID.itemsize
+        ids = np.frombuffer(b"".join(coded), _ID)
+        places, listed = self._laid(self.decimal, ids)
+        spots, decoded = self._laid(self.spelt, ids)
+        for text, (first, last), (a, b), (c, d) in zip(texts, *(pairwise(x.tolist()) for x in (ends, places[ends], spots[ends])), strict=True):
+            back = bytes(decoded[c:d])
+            yield (last - first, hashlib.sha256(listed[a: max(a, b - 1)]).hexdigest(), hashlib.sha256(back).hexdigest(),
+                   back == (text or "").encode("utf-8", "surrogatepass"))
+
+
+@lru_cache(maxsize=1)
 def _codec(broadcast, pattern: str) -> Codec:
-    # one codec per Python worker and broadcast: the model is parsed once, not per batch
-    key = broadcast.id if hasattr(broadcast, "id") else id(broadcast)
-    if key not in _CODECS:
-        _CODECS[key] = Codec(broadcast.value, pattern)
-    return _CODECS[key]
+    # one codec per Python worker, for the last broadcast: the model is parsed once, not per batch
+    return Codec(broadcast.value, pattern)
 
 
 def encoded(docs: DataFrame, rank_path: str, pattern: str | None = None) -> DataFrame:
@@ -170,16 +200,10 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str | None = None) -> Data
     def batches(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model, pattern)
         for batch in batches_in:
-            # slices of a few hundred rows: Python objects of a whole Arrow batch are never held at once
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                counts, id_hashes, text_hashes, same = [], [], [], []
-                for text in part.column("text").to_pylist():
-                    count, ids_hash, text_hash, whole = codec.digest(text)
-                    counts.append(count)
-                    id_hashes.append(ids_hash)
-                    text_hashes.append(text_hash)
-                    same.append(whole)
+            # slices of some megabytes: Python objects of a whole Arrow batch are never held at once
+            for start, rows in slices(batch.column("text")):
+                part = batch.slice(start, rows)
+                counts, id_hashes, text_hashes, same = zip(*codec.digests(part.column("text").to_pylist()), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()),
                      pa.array(text_hashes, pa.string()), pa.array(same, pa.bool_())],
